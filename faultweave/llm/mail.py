@@ -144,11 +144,12 @@ _GREETING = re.compile(r"^(?:hello|hi|hey|dear|good (?:morning|afternoon|evening
 _CLOSING = re.compile(r"^(?:(?:best|kind|warm) regards|regards|best|thanks|thank you|cheers|sincerely|yours \w+|(?:mit )?freundlichen? grüßen?|viele grüße|liebe grüße|cordialement|bien à vous|merci|salutations|saludos|un saludo|atentamente|gracias|sent from my [\w ]+)\s*[,.!]?$", re.I)
 _DISCLAIMER = re.compile(
     r"confidential(?:ity)?\b|vertraulich|confidentiel|confidencial|\bmeant only for the people\b|intended (?:only|solely) for|reached you by mistake"
+    r"|nothing in this (?:letter|message|e-?mail) binds|before you print this|views are those of the|views expressed"
     r"|nur für die (?:empfänger|personen)|ist nur für|irrtümlich|réservé à ses destinataires|en cas d'erreur|destinatarios?\b|por error\b",
     re.I,
 )
 #: A text without any of these has no disclaimer.
-_DISCLAIMER_HINTS = ("confiden", "vertraulich", "meant only", "intended", "by mistake", "ist nur für", "nur für die", "irrtümlich", "réservé", "erreur", "destinatario", "por error")
+_DISCLAIMER_HINTS = ("confiden", "binds", "before you print", "views", "vertraulich", "meant only", "intended", "by mistake", "ist nur für", "nur für die", "irrtümlich", "réservé", "erreur", "destinatario", "por error")
 _RULE = re.compile(r"^([-_*=~#])\1{7,}$")
 
 
@@ -167,12 +168,23 @@ def body_of(text: str) -> str:
     return own_text("\n".join(p.text for p in chosen))
 
 
+def _mended(line: str) -> str:
+    """A line of UTF-8 that was read in a Western charset, read again."""
+    if "Ã" in line or "Â" in line:
+        for charset in ("cp1252", "latin-1"):
+            try:
+                return line.encode(charset).decode("utf-8")
+            except UnicodeError:
+                continue
+    return line
+
+
 def own_text(body: str) -> str:
     """``body`` without what its sender did not write in it."""
     if "\r" in body:
         body = body.replace("\r\n", "\n").replace("\r", "\n")
     kept: list[str] = []
-    lines = [x.rstrip() for x in body.split("\n")]
+    lines = [_mended(x.rstrip()) for x in body.split("\n")]
     i, n, quoting, original = 0, len(lines), False, 0
     while i < n:
         line = lines[i]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultweave.llm import leakage, packing, topn
+from faultweave.llm import leakage, packing, textquality, topn
 from faultweave.plans.preparation import event_records
 from faultweave.plans.preparation_sql import _RECORDS
 from faultweave.sources.tables import table
@@ -48,7 +48,17 @@ def p8_leak_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.join(items, "item", "left").select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "suite", "longest", "tiles", "covered", "coverage")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p7_assignment, p7_fill_report, p8_found, p8_leak_report)}
+def p9_text_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's statistics, the posteriors of the text types and the likeliest type."""
+    common = textquality.common_words(table(spark, sf_dir, "common_words"))
+    return textquality.text_types(table(spark, sf_dir, "documents"), "doc_id", "text", common)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_text_types(spark, sf_dir).where(F.col("p_prose") < 0.5).select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p7_assignment, p7_fill_report, p8_found, p8_leak_report, p9_found, p9_text_types)}
 
 SQL = {
     "p4_found": f"""
