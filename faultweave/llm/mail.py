@@ -37,7 +37,7 @@ def split_message(text: str) -> tuple[str, str]:
     """Headers (unfolded) and body. A text whose first line is no header is all body."""
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
-    text = text.lstrip("﻿")
+    text = text.removeprefix(chr(0xFEFF))
     if text.startswith("\n"):
         return "", text[1:]
     if not _HEADER.match(text):
