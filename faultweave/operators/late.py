@@ -22,12 +22,17 @@ def status(hour: Column, arrival: Column, publish_hours: int = PUBLISH_HOURS, cl
     return F.when(after <= publish_hours * HOUR_US, "in_time").when(after <= close_hours * HOUR_US, "corrected").when(after.isNotNull(), "expired")
 
 
+def _own(*columns: str) -> Column:
+    """What tells rows without an identifier apart; null for the others."""
+    return F.when(F.col("run_id").isNull() | F.col("item").isNull(), F.struct(*columns)).alias("own")
+
+
 class PeriodStore:
     """Per-hour counts of records by event time.
 
     Input rows have ``source``, ``run_id``, ``item``, ``event_time`` and ``arrival``. A record is one (source, run_id, item); it
     arrives at the earliest arrival among its rows and belongs to the hour of its earliest event time among the rows of that
-    day. Rows without event time or arrival belong to no hour and are left out; rows without
+    day; a row that arrives after its own hour was closed is retained but counts for nothing. Rows without event time or arrival belong to no hour and are left out; rows without
     run_id or item are records of their own per distinct (event_time, arrival). A batch id is ingested once; replays are skipped.
     """
 
@@ -44,8 +49,8 @@ class PeriodStore:
             return []
         raw = (
             rows.select(*self.RAW).where(F.col("event_time").isNotNull() & F.col("arrival").isNotNull())
-            .groupBy("source", "run_id", "item", "event_time").agg(F.min("arrival").alias("arrival"), F.count(F.lit(1)).alias("rows"))
-            .withColumn("day", utc_day("event_time"))
+            .groupBy("source", "run_id", "item", "event_time", _own("arrival")).agg(F.min("arrival").alias("arrival"), F.count(F.lit(1)).alias("rows"))
+            .drop("own").withColumn("day", utc_day("event_time"))
         )
         self.files.save(raw.hint("rebalance", "day"), f"raw/batch={batch_id}", "day")
         batches, touched = [*self.manifest["batches"], batch_id], []
@@ -73,13 +78,12 @@ class PeriodStore:
         return self.spark.read.schema(schema).option("basePath", self.files.at("raw")).parquet(*paths)
 
     def _recomputed(self, batches: list[str], days: list[str]) -> DataFrame:
-        own = F.when(F.col("run_id").isNull() | F.col("item").isNull(), F.struct("event_time", "arrival"))
         records = (
-            self._raw(batches, days).groupBy("day", "source", "run_id", "item", own.alias("own"))
+            self._raw(batches, days).where(self._status("event_time") != "expired").groupBy("day", "source", "run_id", "item", _own("event_time", "arrival"))
             .agg(F.min("event_time").alias("event_time"), F.min("arrival").alias("arrival"), F.sum("rows").alias("rows"))
         )
         out = records.select("source", "run_id", "item", "event_time", "arrival", "rows", utc_hour("event_time").alias("hour"), self._status("event_time").alias("status"), "day")
-        return out.where("status <> 'expired'").hint("rebalance", "day")
+        return out.hint("rebalance", "day")
 
     def records(self) -> DataFrame:
         """The records of all published days, each with its hour, arrival and status."""

@@ -238,7 +238,7 @@ SQL = {
              count(*) FILTER (ms >= 60000 AND ms < 90000) AS b60_90, count(*) FILTER (ms >= 90000) AS b90 FROM ({_TIMERS}) GROUP BY label""",
     "prefix_rollup": _stats(
         "run, shown",
-        f"""SELECT t.run, ms, CASE WHEN k >= 3 THEN prefix || '.*' ELSE label END AS shown
+        f"""SELECT t.run, ms, CASE WHEN k >= 3 THEN t.prefix || '.*' ELSE label END AS shown
             FROM (SELECT *, split_part(label, '.', 1) AS prefix FROM ({_TIMERS})) t
             LEFT JOIN (SELECT run, split_part(label, '.', 1) AS prefix, count(DISTINCT label) AS k FROM ({_TIMERS}) WHERE contains(label, '.') GROUP BY ALL) p
               ON p.run = t.run AND p.prefix = t.prefix AND contains(label, '.')""",

@@ -33,7 +33,7 @@ _ARRIVED = f"""
     SELECT 'error_events' AS table_name, {canonical("run_id")} AS run_id, event_ord::VARCHAR AS item, dt AT TIME ZONE 'UTC' AS t, inserted_at AT TIME ZONE 'UTC' AS arrival FROM error_events
     UNION ALL
     SELECT 'acquisition_history', {canonical("run_id")}, system_id, capture_datetime AT TIME ZONE 'UTC', inserted_at AT TIME ZONE 'UTC' FROM acquisition_history
-  ) WHERE t IS NOT NULL AND arrival IS NOT NULL
+  ) WHERE t IS NOT NULL AND arrival <= date_trunc('hour', t) + INTERVAL 73 HOUR
   GROUP BY table_name, run_id, item, date_trunc('day', t), CASE WHEN run_id IS NULL OR item IS NULL THEN (t, arrival) END"""
 
 SQL = {

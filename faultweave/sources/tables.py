@@ -53,7 +53,7 @@ class Scratch:
         """Write ``df`` as a table (this cuts the lineage and survives lost executors) and read it back."""
         w = df.write.mode("overwrite").option("compression", "zstd")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(self.at(name))
-        return self.spark.read.schema(df.schema).parquet(self.at(name)) if not partition_by else self.spark.read.parquet(self.at(name))
+        return self.spark.read.schema(df.schema).parquet(self.at(name))
 
     def write_json(self, name: str, value: dict) -> None:
         """Publish a small JSON file: written beside its place, then renamed (atomic on HDFS and local disks)."""
