@@ -22,7 +22,7 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isFile():  # a stream watches folders
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).isFile(p):  # a stream watches folders
         return reader.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())
     return reader.parquet(path)
 
