@@ -78,7 +78,7 @@ def top_n(df: DataFrame, group: list[str], order: list[str], n: int, unique: boo
     longest: dict[str, int] = {}
     total, level_words = None, {o: _words(F.col(o), kinds[o], 0) for o in os_ if o not in strings}
     for round_ in range(10_000):
-        if round_ == 1 and strings:  # only the few rows at the cuts need the identifiers' words
+        if strings and not longest and (round_ or "o0" in strings):  # only the few rows at the cuts need the identifiers' words
             m = rows.agg(*(F.max(F.octet_length(o)).alias(o) for o in strings)).first()
             longest = {o: m[o] or 0 for o in strings}
         words = [w for i, o in enumerate(os_) for w in (level_words[o] if o in level_words else _words(F.col(o), kinds[o], longest.get(o, 0))) if round_ or i == 0]
