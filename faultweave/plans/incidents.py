@@ -11,7 +11,7 @@ from faultweave.functions import classify as taxonomy
 from faultweave.functions import text as tx
 from faultweave.functions.ids import canonical_run_id
 from faultweave.operators import incidents, materialize, runstats
-from faultweave.sources.tables import PRODUCERS, table
+from faultweave.sources.tables import spread, table
 
 #: The pinned evaluation time and the cuts of the incremental windows.
 NOW = datetime(2026, 6, 30, tzinfo=UTC)
@@ -24,7 +24,7 @@ def _ntz(df: DataFrame) -> DataFrame:
 
 
 def _logs(spark: SparkSession, d: str) -> DataFrame:
-    return materialize.source_scan(table(spark, d, "app_run_logs"), BEFORE, AFTER)
+    return spread(materialize.source_scan(table(spark, d, "app_run_logs"), BEFORE, AFTER), "run_id", "inserted_at")
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:

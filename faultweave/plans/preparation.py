@@ -9,7 +9,7 @@ from faultweave.functions.ids import canonical_run_id
 from faultweave.functions.time import utc_day
 from faultweave.operators import late, orphans, shred, skew
 from faultweave.operators.dedupe import COPIES, UpsertStore, keep_one
-from faultweave.sources.tables import Scratch, table
+from faultweave.sources.tables import Scratch, spread, table
 
 
 def event_records(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -78,7 +78,7 @@ def p3_orphan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = table(spark, sf_dir, "app_run_logs").select(canonical_run_id("run_id").alias("run_id"), F.lit(None).cast("int").alias("ord"), F.lit(True).alias("is_array"), F.col("warn_error_logs").alias("text"))
     raw = table(spark, sf_dir, "error_events").select(canonical_run_id("run_id").alias("run_id"), F.col("event_ord").alias("ord"), F.lit(False).alias("is_array"), F.col("raw_event").alias("text"))
-    return logs.unionByName(raw).where(F.col("text").isNotNull())
+    return spread(logs, "run_id").unionByName(spread(raw, "run_id", "ord")).where(F.col("text").isNotNull())
 
 
 def _shredded(spark: SparkSession, sf_dir: str, only: set[str] | None = None, fields: bool = True) -> tuple[DataFrame, shred.Layout]:

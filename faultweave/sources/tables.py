@@ -20,6 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` over all cores before costly work on each row, if its scan alone would leave most of them idle.
+
+    A scan of more than two partitions a core, and one of at least a file for each core, stays as it is: a large table is never
+    shuffled for this. ``keys`` are hashed, so a lost task is repeated with the same rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() > 2 * cores or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder shared by driver and executors: ``spark.checkpoint.dir``, own only where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
