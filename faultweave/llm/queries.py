@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from faultweave.llm import leakage, packing, textquality, topn
 from faultweave.plans.preparation import event_records
 from faultweave.plans.preparation_sql import _RECORDS
-from faultweave.sources.tables import table
+from faultweave.sources.tables import spread, table
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +16,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topn.top_n(records, ["fingerprint", "entity"], ["dt", "run_id", "event_ord"], 3, unique=True).select("fingerprint", "entity", "run_id", "event_ord")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def p7_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's container of 4,096 tokens; longer texts in parts."""
-    return packing.containers(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return packing.containers(_documents(spark, sf_dir), "doc_id", "text")
 
 
 def p7_fill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +38,7 @@ LEAK_WORDS, LEAK_COVERAGE = 13, 0.5
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+    return leakage.leaks(_documents(spark, sf_dir), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +55,7 @@ def p8_leak_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_text_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's statistics, the posteriors of the text types and the likeliest type."""
     common = textquality.common_words(table(spark, sf_dir, "common_words"))
-    return textquality.text_types(table(spark, sf_dir, "documents"), "doc_id", "text", common)
+    return textquality.text_types(_documents(spark, sf_dir), "doc_id", "text", common)
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
