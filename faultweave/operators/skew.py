@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_STATE = "long", "long", "long", "long", "long", "long"
+from faultweave.sources.tables import ship
+
 _FIELDS = "n", "timed", "first_us", "last_us", "bursts", "max_gap_us"
 
 
@@ -89,6 +90,7 @@ def key_states(df: DataFrame, keys: list[str], time: str, tie: list[str], gap_se
     No task gets more than its share of rows, however heavy a key is: the range bounds are sampled quantiles over
     keys, time and ``tie``.
     """
+    ship(df.sparkSession)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]
     order = [F.col(f"`{t}`").alias(f"o{i}") for i, t in enumerate(tie)]

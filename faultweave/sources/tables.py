@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +17,33 @@ PRODUCERS = ("data_acquisition", "hhm_rpp_ge", "hhm_rpp_philips")
 SELF_APP = "incident-engine"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package's code to the Python workers, once for each application; they need not have it installed.
+
+    The archive is read by the driver alone, which serves it to the executors.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = spark.conf.get("spark.checkpoint.dir", None) or ""
+    folder = root.removeprefix("file://") if root.startswith(("file:/", "/")) and os.path.isdir(root.removeprefix("file://")) else tempfile.mkdtemp(prefix="faultweave-")
+    path = os.path.join(folder, f"faultweave-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(at, n), os.path.join("faultweave", os.path.relpath(os.path.join(at, n), package)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of ``sf_dir``; only the columns that a plan uses are read (Parquet)."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,6 +74,7 @@ class Scratch:
     """A private folder under the shared root, with the few file-system calls that operators need."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
+        ship(spark)
         self.spark = spark
         self.path = path or f"{shared_root(spark)}/fw-{uuid.uuid4().hex}"
         self._hp = spark._jvm.org.apache.hadoop.fs.Path

@@ -39,5 +39,6 @@ def compare(spark, query, sql: str, sf_dir: str) -> None:
     an, a = rows_of_df(query(spark, sf_dir))
     bn, b = rows_of_sql(sql, sf_dir)
     assert an == bn, (an, bn)
-    only_a, only_b = [x for x in a if x not in set(b)][:3], [x for x in b if x not in set(a)][:3]
+    in_a, in_b = set(a), set(b)
+    only_a, only_b = [x for x in a if x not in in_b][:3], [x for x in b if x not in in_a][:3]
     assert a == b, f"{len(a)} and {len(b)} rows; only the query: {only_a}; only SQL: {only_b}"
