@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultweave.sources.tables import ship
+
 #: A rank file: base64 token and rank per line. Any vocabulary of that form can be named instead.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: How that vocabulary splits text before its merges (a fixed value).
@@ -30,6 +32,7 @@ def encoder(path: str = VOCABULARY):
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Fewer rows in an Arrow batch than usual: a text may have hundreds of thousands of characters."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
