@@ -79,7 +79,7 @@ def statistics(body: str, common: frozenset[str] | set[str]) -> tuple:
             marked = bool(_END.search(line.rstrip()))
             ended += marked
             odd += strange
-            if item := bool(_BULLET.match(line)):
+            if item := len(parts) <= 8 and bool(_BULLET.match(line)):  # a longer line that starts with "511. So we" is a sentence's end
                 bulleted += size
             if len(parts) <= 5 and not marked:
                 short += size
