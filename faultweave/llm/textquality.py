@@ -42,7 +42,7 @@ def statistics(body: str, common: frozenset[str] | set[str]) -> tuple:
 
     chars: non-blank characters; symbol_ratio, digit_ratio: of them; words: blank-separated tokens of letters alone once marks at
     their edges are gone; common_share: of all tokens; odd_share: characters in tokens that mix letters with digits or symbols or
-    exceed 24 characters, addresses aside; running_share: characters in lines that read as running sentences: mostly letters, and either a
+    exceed 24 characters, addresses and rows of cells aside; running_share: characters in lines that read as running sentences: mostly letters, and either a
     quarter of common words (and no list item, nor a few words without an end mark), or five words and an end mark, or in a paragraph
     with three tenths of common words.
     """
@@ -78,12 +78,13 @@ def statistics(body: str, common: frozenset[str] | set[str]) -> tuple:
             digits += alnum - alpha
             marked = bool(_END.search(line.rstrip()))
             ended += marked
-            odd += strange
+            cells = len(_ROW.findall(line)) >= 2 and known * 5 < len(parts)
+            odd += 0 if cells else strange
             if item := len(parts) <= 8 and bool(_BULLET.match(line)):  # a longer line that starts with "511. So we" is a sentence's end
                 bulleted += size
             if len(parts) <= 5 and not marked:
                 short += size
-            if len(_ROW.findall(line)) >= 2 and known * 5 < len(parts):
+            if cells:
                 rows += size
             block_words += n
             block_known += known
