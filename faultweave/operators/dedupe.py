@@ -22,8 +22,8 @@ def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per ``keys``: that with the greatest ``order``, ties decided by the whole row; ``__copies`` counts the rows.
 
     A single hash exchange, with the copies of a map task combined before it, so that an identifier delivered very often is
-    no hot spot. Nulls in keys group together; an empty table gives an empty result. Field names never clash because the
-    row travels as one struct.
+    no hot spot. Nulls in keys group together, null order values are lowest; an empty table gives an empty result. Names never
+    clash because the row travels as one struct; an existing ``__copies`` is added up.
     """
     names = df.columns
     rest = [c for c in names if c not in keys]

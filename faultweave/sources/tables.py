@@ -71,7 +71,8 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """A private folder under the shared root, with the few file-system calls that operators need."""
+    """A folder for what operators write, with the few file-system calls that they need: a given one, which stays, or a private
+    one under the shared root, which goes with the application."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         ship(spark)
@@ -79,6 +80,8 @@ class Scratch:
         self.path = path or f"{shared_root(spark)}/fw-{uuid.uuid4().hex}"
         self._hp = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._hp(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        if path is None:  # lazy results read it until the application ends
+            self._fs.deleteOnExit(self._hp(self.path))
 
     def at(self, name: str) -> str:
         return f"{self.path}/{name}"
