@@ -54,7 +54,7 @@ def _attach(rows: DataFrame, info: DataFrame, groups: list[str], total: int) ->
     hot = info.where(is_hot)
     marked = joined(rows, F.broadcast(hot), "left")
     warm = marked.where(F.col("size").isNotNull())
-    cold = joined(marked.where(F.col("size").isNull()).drop(*extra), info.where(~is_hot), "inner")
+    cold = joined(marked.where(F.col("size").isNull()).drop(*extra), info.where(~is_hot).hint("merge"), "inner")  # grows with the groups: never broadcast
     return warm.unionByName(cold)
 
 
