@@ -47,12 +47,13 @@ def orphans(refs: DataFrame, parents: DataFrame, key: str, parent_key: str, max_
     an orphan; an empty ``refs`` gives an empty result. ``refs`` may have any columns: they are kept and made distinct.
     """
     r = refs.where(F.col(f"`{key}`").isNotNull()).distinct()
-    p = parents.select(F.col(f"`{parent_key}`").alias("__parent")).where(F.col("__parent").isNotNull()).distinct()
-    n = p.agg(F.approx_count_distinct("__parent", 0.05)).first()[0]
+    keys = parents.select(F.col(f"`{parent_key}`").alias("__parent")).where(F.col("__parent").isNotNull())
+    p = keys.distinct()
+    n = keys.agg(F.approx_count_distinct("__parent", 0.05)).first()[0]  # sketches of the map tasks; no exchange of keys
     blocks = filter_blocks(n)
     if blocks * _WORD > max_bits:
         return _exact(r, p, key)
-    words = bloom_filter(p, "__parent", blocks).select(F.col("block").alias("__block"), F.col("bits").alias("__bits"))
+    words = bloom_filter(keys, "__parent", blocks).select(F.col("block").alias("__block"), F.col("bits").alias("__bits"))
     k = F.col(f"`{key}`")
     marked = r.withColumn("__block", _block(k, blocks)).join(F.broadcast(words), "__block", "left")
     passes = F.coalesce(F.col("__bits").bitwiseAND(_mask(k)) == _mask(k), F.lit(False))
