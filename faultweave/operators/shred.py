@@ -3,7 +3,8 @@
 1. Analyse: one pass over all texts gives the schema graph: which field names hold objects, which of them repeat, which
    have several kinds of parent or reach themselves.
 2. Lay out: a field that repeats, is shared by several parents' tables or recurs gets a table of its own; every other
-   object is inlined into the table of its nearest ancestor that has one, as columns named by their path.
+   object is inlined into the table of its nearest ancestor that has one, as columns named by their path. An object with very
+   many child names is a map: its entries stay one text, but the tables' fields below it, at any depth, go to their tables.
 3. Shred: a second pass fills the tables. Every row carries the record's key, its position and the position of its parent row.
 
 JSON of unknown shape has no Catalyst expression for "at any depth", so both passes are Arrow batches through Python;
@@ -22,10 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultweave.sources.tables import ship
+from faultweave.sources.tables import Scratch, ship
 
 ROOT = "event"
-#: An object field with more distinct child names than this is a map: its children are data, not schema, and stay JSON text.
+#: An object field with more distinct child names than this is a map: its children are data, not schema, and stay JSON text,
+#: except what belongs to tables. Of a map with more children than this that hold objects, those known from no other parent are data too.
 MAP_WIDTH = 256
 
 
@@ -123,38 +125,41 @@ def events_of(text: str | None, ord_: int | None, is_array: bool) -> Iterator[tu
         yield ord_, value
 
 
-def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct edges (parent, child, kind) of the schema graph in a partition. kind: value, object or array."""
+def _edges(batches: Iterator[pa.RecordBatch], maps: set[str] = frozenset(), named: set[str] = frozenset()) -> Iterator[pa.RecordBatch]:
+    """The distinct edges (parent, child, kind) of the schema graph in a partition. kind: value, object or array.
+
+    Below ``maps`` only the fields in ``named`` that hold objects or arrays give an edge, from the map itself."""
     seen: set[tuple[str, str, str]] = set()
     for batch in batches:
         for text, ord_, is_array in zip(*(batch.column(i).to_pylist() for i in range(3))):
             for _, event in events_of(text, ord_, is_array):
-                todo = [(ROOT, event)]
+                todo = [(ROOT, False, event)]
                 while todo:
-                    name, box = todo.pop()
+                    name, in_map, box = todo.pop()
+                    if type(box) is list:
+                        todo += [(name, in_map, x) for x in box if type(x) is dict or type(x) is list]
+                        continue
                     for k, v in box.items():
                         v = _unwrapped(v) if type(v) is str else v
-                        if type(v) is dict:
-                            seen.add((name, k, "object"))
-                            todo.append((k, v))
-                        elif type(v) is list:
-                            seen.add((name, k, "array"))
-                            todo += [(k, x) for x in v if type(x) is dict]
-                        else:
-                            seen.add((name, k, "value"))
+                        kind = "object" if type(v) is dict else "array" if type(v) is list else "value"
+                        if not in_map or kind != "value" and k in named:
+                            seen.add((name, k, kind))
+                            if kind != "value":
+                                todo.append((k, k in maps, v))
+                        elif kind != "value":
+                            todo.append((name, True, v))
     if seen:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*seen)], names=["parent", "child", "kind"])
 
 
 class Layout:
-    """The tables of a schema graph: ``tables[name]`` lists the columns (paths of inlined fields) of a table."""
+    """The tables of a schema graph: ``tables[name]`` lists the columns (paths of inlined fields) of a table. Fields in ``named``
+    get tables of their own wherever they hold objects."""
 
-    def __init__(self, edges: list[tuple[str, str, str]], maps: set[str] = frozenset()):
+    def __init__(self, edges: list[tuple[str, str, str]], maps: set[str] = frozenset(), named: set[str] = frozenset()):
         objects: dict[str, set[str]] = {}
         arrays, values = set(), {}
         for parent, child, kind in edges:
-            if parent in maps:
-                continue
             if kind == "value":
                 values.setdefault(parent, set()).add(child)
             else:
@@ -165,7 +170,7 @@ class Layout:
         below = {p: {c for c, ps in objects.items() if p in ps} for ps in objects.values() for p in ps}
         self.shared = {c for c, ps in objects.items() if len(ps) > 1}
         self.recursive = {c for c in objects if self._reaches(below, c)}
-        own = (arrays | self.shared | self.recursive | ({ROOT} & set(objects))) - self.maps
+        own = (arrays | self.shared | self.recursive | ({ROOT} & set(objects))) - self.maps | (set(named) & set(objects))
         self.names = own
         self.tables: dict[str, list[str]] = {}
         for name in sorted({ROOT, *own}):
@@ -174,9 +179,11 @@ class Layout:
                 at, prefix = todo.pop()
                 cols += [prefix + v for v in values.get(at, ())]
                 for c in below.get(at, ()):
+                    if c in own:
+                        continue
                     if c in self.maps:
                         cols.append(prefix + c)
-                    elif c not in own:
+                    else:
                         todo.append((c, f"{prefix}{c}."))
             self.tables[name] = sorted(set(cols))
 
@@ -193,19 +200,28 @@ class Layout:
         return False
 
 
-def analyse(df: DataFrame, text: Column, is_array: Column) -> Layout:
-    """The layout for all texts of ``df``. The distinct edges are made distinct on the executors; the driver gets those of
-    objects that are no maps, at most ``MAP_WIDTH`` for each field name."""
+_EDGE = "parent string, child string, kind string"
+
+
+def analyse(df: DataFrame, text: Column, is_array: Column, named: set[str] = frozenset()) -> Layout:
+    """The layout for all texts of ``df``; fields in ``named`` are tables in any case. The edges are made distinct on the executors.
+
+    If there are maps, a second pass gives the edges without the maps' entries, so that the driver gets those of the schema, at
+    most ``MAP_WIDTH`` for each field name, and the names of fields that repeat or are shared."""
     ship(df.sparkSession)
-    edges = df.select(text.alias("t"), F.lit(0).alias("o"), is_array.alias("a")).mapInArrow(_edges, "parent string, child string, kind string").distinct()
-    fan = edges.groupBy("parent").agg(F.count_distinct("child").alias("width"), F.collect_set(F.when(F.col("kind") != "none", F.struct("child", "kind"))).alias("c"))
-    maps, found = set(), []
-    for r in fan.select("parent", "width", F.when((F.col("width") <= MAP_WIDTH) | (F.col("parent") == ROOT), F.col("c")).alias("c")).toLocalIterator():
-        if r.c is None:
-            maps.add(r.parent)
-        else:
-            found += [(r.parent, x.child, x.kind) for x in r.c]
-    return Layout(found, maps)
+    source = df.select(text.alias("t"), F.lit(0).alias("o"), is_array.alias("a"))
+    edges = Scratch(df.sparkSession).save(source.mapInArrow(_edges, _EDGE).distinct(), "edges")
+    holds = F.col("kind") != "value"
+    fan = edges.groupBy("parent").agg(F.count_distinct("child").alias("width"), F.count_distinct(F.when(holds, F.col("child"))).alias("boxes"))
+    wide = {r.parent: r.boxes for r in fan.where((F.col("width") > MAP_WIDTH) & (F.col("parent") != ROOT)).toLocalIterator()}
+    if not wide:
+        return Layout([tuple(r) for r in edges.toLocalIterator()], named=named)
+    elsewhere = ~F.col("parent").isin([m for m, n in wide.items() if n > MAP_WIDTH])
+    children = edges.where(holds).groupBy("child").agg(F.max(F.col("kind") == "array").alias("repeats"), F.count_distinct("parent").alias("parents"), F.max(elsewhere).alias("elsewhere"))
+    maps, tables = set(wide), set(named)
+    tables |= {r.child for r in children.where(F.col("elsewhere") & (F.col("repeats") | (F.col("parents") > 1))).select("child").toLocalIterator()} - maps
+    found = source.mapInArrow(lambda batches: _edges(batches, maps, tables), _EDGE).distinct()
+    return Layout([tuple(r) for r in found.toLocalIterator()], maps, tables)
 
 
 def _escaped(name: str) -> str:
@@ -216,28 +232,69 @@ def _text(value: Any) -> str | None:
     return None if value is None else value if type(value) is str else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
 
+def _split(value: Any, path: str, names: set[str]) -> tuple[Any, list[tuple[str, str, Any]]]:
+    """An object or array without the fields below it that belong to tables, and these as (name, path, value)."""
+    taken: list = []
+    top: list = [None]
+    todo = [(top, 0, value, path)]
+    while todo:
+        box, at, v, path = todo.pop()
+        box[at] = {} if type(v) is dict else [None] * len(v)
+        for k, x in v.items() if type(v) is dict else enumerate(v):
+            y, below = x, f"{path}[{k}]"
+            if type(v) is dict:
+                y, below = _unwrapped(x) if type(x) is str else x, f"{path}/{_escaped(k)}" if path else _escaped(k)
+            holds = type(y) is dict or type(y) is list
+            if holds and type(v) is dict and k in names:
+                taken.append((k, below, y))
+                continue
+            box[at][k] = x
+            if holds:
+                todo.append((box[at], k, y, below))
+    return (top[0] if taken else value), taken
+
+
 def shred_event(event: dict, names: set[str], maps: set[str] = frozenset(), only: set[str] | None = None) -> Iterator[tuple[str, str, str | None, int, bool, dict]]:
-    """Rows (table, id, parent id, position, is an object, fields) of one event; parents come before their children."""
+    """Rows (table, id, parent id, position, is an object, fields) of one event; parents come before their children.
+
+    A map is a field with the text of what no table below it has, in a table of its own the field ``value``; the ids of rows
+    below a map hold the whole path from the map on."""
     todo: list = [(ROOT, "", None, 0, event, {})]
     while todo:
         table, id_, parent, pos, value, fields = todo.pop()
-        inner, is_object = [("", value)] if type(value) is dict else [], type(value) is dict
-        if not is_object:
-            fields["value"] = _text(value)
+        is_object = type(value) is dict
         children: list = []
+
+        def add(name: str, at: str, v: Any) -> None:
+            children.extend((name, f"{at}[{i}]", id_, i, x, {}) for i, x in enumerate(v if type(v) is list else (v,)))
+
+        def rest(v: Any, at: str) -> str | None:
+            box = _unwrapped(v)
+            if type(box) is not dict and type(box) is not list:
+                return _text(v)
+            kept, taken = _split(box, at, names)
+            for t in taken:
+                add(*t)
+            return _text(kept if taken else v)
+
+        whole = is_object and not (table in maps and id_)
+        if not whole:
+            fields["value"] = rest(value, id_) if is_object or type(value) is list else _text(value)
+        inner = [("", value)] if whole else []
         while inner:
             prefix, box = inner.pop()
             for k, v in box.items():
-                if k in maps:
-                    fields[prefix + k] = _text(v)
-                    continue
                 if type(v) is str:
                     v = _unwrapped(v)
+                at = f"{id_}/{_escaped(k)}" if id_ else _escaped(k)
                 if k in names and (type(v) is dict or type(v) is list):
-                    at = f"{id_}/{_escaped(k)}" if id_ else _escaped(k)
-                    children += [(k, f"{at}[{i}]", id_, i, x, {}) for i, x in enumerate(v if type(v) is list else (v,))]
+                    add(k, at, v)
+                elif k in maps:
+                    fields[prefix + k] = rest(box[k], at)
                 elif type(v) is dict:
                     inner.append((f"{prefix}{k}.", v))
+                elif type(v) is list:
+                    fields[prefix + k] = rest(box[k], at)
                 else:
                     fields[prefix + k] = _text(v)
         if only is None or table in only:

@@ -83,7 +83,7 @@ def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _shredded(spark: SparkSession, sf_dir: str, only: set[str] | None = None, fields: bool = True) -> tuple[DataFrame, shred.Layout]:
     df = _nested(spark, sf_dir)
-    layout = shred.analyse(df, F.col("text"), F.col("is_array"))
+    layout = shred.analyse(df, F.col("text"), F.col("is_array"), {"attempts", "steps"})
     return shred.shred(df, ["run_id"], F.col("ord"), F.col("text"), F.col("is_array"), layout, only, fields), layout
 
 

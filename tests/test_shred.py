@@ -116,6 +116,42 @@ def test_map_stays_text(spark):
     assert json.loads(row.fields["m"]) == wide["m"]
 
 
+def p5_of(spark, tmp_path, rows):
+    spark.createDataFrame([(r, t, None) for r, _, a, t in rows if a], "run_id string, warn_error_logs string, inserted_at timestamp").write.parquet(f"{tmp_path}/app_run_logs.parquet")
+    spark.createDataFrame([(r, o, t) for r, o, a, t in rows if not a], "run_id string, event_ord int, raw_event string").write.parquet(f"{tmp_path}/error_events.parquet")
+    return {tuple(r) for r in preparation.p5_found(spark, str(tmp_path)).collect()}
+
+
+def uuid_of(i):
+    return f"00000000-0000-4000-8000-{i:012d}"
+
+
+def test_cases_below_maps(spark, tmp_path):
+    """Wide objects above, between and at attempts and steps lose no case: keys by host, of values, objects and arrays."""
+    many = range(shred.MAP_WIDTH + 1)
+    steps = {"steps": [{"op": 1}, "x", {"op": 2}]}
+    values = [{"note": {f"k{i}": i, "transfer": {"attempts": [1, {"no": i, **steps}]}}} for i in many]
+    boxes = [{"hosts": {f"h{i}": {"detail": json.dumps({"attempts": [{f"a{i}": {"deep": [[steps]]}}]})}}} for i in many]
+    arrays = [{"jobs": json.dumps({f"j{i}": [{"n": 1}, {"attempts": {"steps": {f"s{i}": 1}}}]})} for i in many]
+    rows = [(uuid_of(i), i, False, json.dumps(e)) for i, e in enumerate(values + boxes + arrays)] + [(uuid_of(9999), None, True, json.dumps(values[:2] + boxes[:2] + arrays[:2]))]
+    want = {(r[0], *c) for r in rows for c in brute_cases(r[3], r[2], r[1])}
+    assert len(want) > 8 * len(many) and p5_of(spark, tmp_path, rows) == want
+
+
+def test_single_objects_are_cases(spark, tmp_path):
+    rows = [(uuid_of(1), 0, False, '{"note":{"attempts":{"no":1,"x":[[{"steps":{"op":2}}]]}}}')]
+    assert p5_of(spark, tmp_path, rows) == {(uuid_of(1), 0, 0, -1), (uuid_of(1), 0, 0, 0)}
+
+
+def test_map_keeps_what_no_table_has(spark):
+    wide = {f"k{i}": i for i in range(shred.MAP_WIDTH + 1)}
+    event = {"m": json.dumps({**wide, "h1": {"tries": [{"n": 1}], "z": 3}, "h2": {"tries": [{"n": 2}]}})}
+    out, layout = run_cases(spark, [("a", 0, False, json.dumps(event))])
+    assert layout.maps == {"m"} and layout.tables == {"event": ["m"], "tries": ["n"]}
+    assert json.loads(out.where("table_name = 'event'").first().fields["m"]) == {**wide, "h1": {"z": 3}, "h2": {}}
+    assert {(r.row_id, r.parent_id, r.fields["n"]) for r in out.where("table_name = 'tries'").collect()} == {("m/h1/tries[0]", "", "1"), ("m/h2/tries[0]", "", "2")}
+
+
 @pytest.mark.parametrize("text", ["[" * 50_000 + "]" * 50_000, '{"a":' * 30_000 + "1" + "}" * 30_000, '{"n":' + "9" * 6000 + "}"])
 def test_very_deep_and_long(text):
     assert shred.parse(text) is not None
