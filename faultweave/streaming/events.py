@@ -39,9 +39,11 @@ def windowed_counts(events: DataFrame, window: str = "1 hour", lateness: str = "
     return e.groupBy(F.window(time, window).alias("w"), *by).agg(F.count(F.lit(1)).alias("events")).select(F.col("w.start").alias("window_start"), *by, "events")
 
 
-def sessions(events: DataFrame, gap: str = "30 minutes", lateness: str = "3 days", time: str = "dt", by: tuple[str, ...] = ("entity",)) -> DataFrame:
-    """Counts per session of event time: events at most ``gap`` apart."""
-    e = events.where(F.col(time).isNotNull()).withWatermark(time, lateness)
+def sessions(events: DataFrame, gap: str = "30 minutes", lateness: str | None = "3 days", time: str = "dt", by: tuple[str, ...] = ("entity",)) -> DataFrame:
+    """Counts per session of event time: events at most ``gap`` apart. A record later than ``lateness`` behind the newest one is
+    left out, in complete mode too; with None there is no watermark and every record counts, in complete mode only."""
+    e = events.where(F.col(time).isNotNull())
+    e = e if lateness is None else e.withWatermark(time, lateness)
     s = e.groupBy(F.session_window(time, gap).alias("w"), *by).agg(F.count(F.lit(1)).alias("events"))
     return s.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "events")
 
