@@ -4,12 +4,13 @@ Items are hashed into groups of bounded size, which are packed independently and
 underfull containers, so the loss against one global packing shrinks with the group's size, not with the data. Within a group,
 best-fit decreasing gives a start. The search then goes over the underfull containers from the fullest down and moves an item in,
 or exchanges one for one, two for one or one for two with less full ones, always so that the sum of squared fills grows; that drains
-the emptiest containers until they are gone.
+the emptiest containers until they are gone. It ends where no such move or exchange in the group is left.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from collections import Counter
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,9 +22,8 @@ from faultweave.sources.tables import Scratch
 CAPACITY = 4096
 #: Items of a group on average: some tens of MB in a Python worker.
 GROUP_ITEMS = 20_000
-#: The search ends when a pass improves nothing, or after so many passes.
-PASSES = 20
-_DONORS = 12  # least full containers that are searched for pairs
+#: Passes of the search at most; None: until one improves nothing. Each exchange raises the squared fill, so it ends.
+PASSES = None
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -61,6 +61,11 @@ class _Search:
             if self.fill[b] < capacity:
                 for i in bins[b]:
                     self._index(i, b)
+        self.by_sum: dict[int, set[int]] = {}
+        self.sums: dict[int, set[int]] = {}  # of the pairs of items in an underfull container
+        self.sum_mask = 0
+        for b in range(len(bins)):
+            self._index_pairs(b)
 
     def _index(self, i: int, b: int) -> None:
         s = self.sizes[i]
@@ -76,6 +81,41 @@ class _Search:
             if not at:
                 self.mask &= ~(1 << s)
 
+    def _index_pairs(self, b: int) -> None:
+        """Bring the index of pair sums up to what ``b`` holds now."""
+        for s in self.sums.pop(b, ()):
+            self.by_sum[s].discard(b)
+            if not self.by_sum[s]:
+                self.sum_mask &= ~(1 << s)
+        if 0 < self.fill[b] < self.capacity:
+            held = Counter(self.sizes[i] for i in self.bins[b] if self.sizes[i])
+            self.sums[b] = {s + t for s, t in combinations(held, 2)} | {2 * s for s, n in held.items() if n > 1}
+            for s in self.sums[b]:
+                self.by_sum.setdefault(s, set()).add(b)
+                self.sum_mask |= 1 << s
+
+    def _pair(self, total: int, b: int) -> tuple[int, int]:
+        """Two items of ``b`` with so many tokens."""
+        seen: dict[int, int] = {}
+        for i in sorted(self.bins[b]):
+            if (s := self.sizes[i]) and total - s in seen:
+                return seen[total - s], i
+            if s:
+                seen.setdefault(s, i)
+        raise KeyError(total)
+
+    def _largest_pair(self, low: int, high: int, into: int, removed: int, donors: list[int] | None) -> tuple[int, int] | None:
+        """As ``_largest`` for two items of one container: their tokens and the container."""
+        while high > low:
+            s = (self.sum_mask & ((1 << (high + 1)) - 1)).bit_length() - 1
+            if s <= low:
+                return None
+            fit = [(self.fill[b], b) for b in self.by_sum[s] if b != into and self.fill[into] + s - removed > self.fill[b] and (donors is None or b in donors)]
+            if fit:
+                return s, min(fit)[1]
+            high = s - 1
+        return None
+
     def _largest(self, low: int, high: int, into: int, removed: int) -> int | None:
         """An item of the largest size in (low, high] whose exchange for ``removed`` tokens of ``into`` raises the squared fill."""
         while high > low:
@@ -112,52 +152,56 @@ class _Search:
             if self.fill[x] == self.capacity:
                 for i in self.bins[x]:
                     self._forget(i)
+            self._index_pairs(x)
 
-    def _improve(self, a: int, donors: list[int]) -> bool:
-        """The best exchange for container ``a``; False if there is none."""
+    def _improve(self, a: int, donors: list[int] | None = None) -> bool:
+        """The best exchange for container ``a``; False if there is none. ``donors`` limits where pairs are taken from."""
         room, best = self.capacity - self.fill[a], None
-        mine = sorted(((self.sizes[i], i) for i in self.bins[a]))
-        options: list[tuple[tuple[int, ...], int]] = [((), 0)]
-        options += [((i,), s) for s, i in mine]
-        options += [((i, j), s + t) for k, (s, i) in enumerate(mine[:8]) for t, j in mine[k + 1 : 8]]
-        for out, removed in options:
+        mine = sorted((self.sizes[i], i) for i in self.bins[a])
+        options: dict[int, tuple[int, ...]] = {0: ()}  # by the tokens that go out: only those matter
+        for s, i in mine:
+            options.setdefault(s, (i,))
+        singles = list(options.items())
+        firsts = [(s, out[0]) for s, out in singles if s]
+        for k, (s, i) in enumerate(firsts):
+            for t, j in firsts[k + 1 :]:
+                options.setdefault(s + t, (i, j))
+        for (s, i), (t, j) in zip(mine, mine[1:]):
+            if s == t:
+                options.setdefault(s + t, (i, j))
+        for removed, out in options.items():
             i = self._largest(removed, removed + room, a, removed)
             if i is not None and (best is None or self.sizes[i] - removed > best[0]):
                 best = (self.sizes[i] - removed, out, self.home[i], (i,))
                 if best[0] == room:
                     break
-        if best is None or best[0] < room:  # two for one (or for none), from the emptiest containers
-            for b in donors:
-                if b == a or not self.bins[b]:
-                    continue
-                theirs = sorted((self.sizes[i], i) for i in self.bins[b] if self.sizes[i])
-                keys = [s for s, _ in theirs]
-                for out, removed in options[: 1 + len(mine)]:
-                    for k, (s, i) in enumerate(theirs):
-                        j = bisect_left(keys, removed + room - s + 1) - 1
-                        if j > k and s + keys[j] > removed:
-                            d = s + keys[j] - removed
-                            if (best is None or d > best[0]) and self.fill[a] + d > self.fill[b]:
-                                best = (d, out, b, (i, theirs[j][1]))
+        if best is None or best[0] < room:  # two for one (or for none)
+            for removed, out in singles:
+                found = self._largest_pair(removed + (best[0] if best else 0), removed + room, a, removed, donors)
+                if found:
+                    best = (found[0] - removed, out, found[1], self._pair(*found))
+                    if best[0] == room:
+                        break
         if best is None:
             return False
         _, out, b, in_ = best
         self._exchange(a, out, b, in_)
         return True
 
-    def run(self, passes: int) -> None:
-        for _ in range(passes):
+    def run(self, passes: int | None) -> None:
+        done = 0
+        while passes is None or done < passes:
             moved = False
             under = sorted((b for b in range(len(self.bins)) if 0 < self.fill[b] < self.capacity), key=lambda b: (-self.fill[b], b))
-            for k, a in enumerate(under):
-                donors = under[max(k + 1, len(under) - _DONORS) :]
-                while 0 < self.fill[a] < self.capacity and self._improve(a, donors):
+            for a in under:
+                while 0 < self.fill[a] < self.capacity and self._improve(a):
                     moved = True
             if not moved:
                 return
+            done += 1
 
 
-def pack(sizes: list[int], capacity: int = CAPACITY, passes: int = PASSES) -> list[int]:
+def pack(sizes: list[int], capacity: int = CAPACITY, passes: int | None = PASSES) -> list[int]:
     """The container number of each item; sizes are 0 to ``capacity``. Containers are numbered from 0 without gaps."""
     bins = best_fit(sizes, capacity)
     search = _Search(sizes, bins, capacity)
@@ -178,7 +222,7 @@ def pack(sizes: list[int], capacity: int = CAPACITY, passes: int = PASSES) -> li
     return place
 
 
-def containers(df: DataFrame, key: str, text: str, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, group_items: int = GROUP_ITEMS, passes: int = PASSES) -> DataFrame:
+def containers(df: DataFrame, key: str, text: str, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, group_items: int = GROUP_ITEMS, passes: int | None = PASSES) -> DataFrame:
     """Every item's container: key, part, tokens, container (group-number).
 
     A text of at most ``capacity`` tokens is one item, never split. A longer one gives full parts, each a container of its own,

@@ -1,3 +1,4 @@
+import itertools
 import random
 from collections import defaultdict
 
@@ -77,3 +78,26 @@ def test_containers(spark):
 
 def test_no_documents(spark):
     assert packing.containers(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").count() == 0
+
+
+def improving(sizes, bins, capacity):
+    """A move or exchange (one or two in, none, one or two out, not two for two) that raises the squared fill, by trying all."""
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    for a, b in itertools.permutations([x for x in range(len(bins)) if 0 < fill[x] < capacity], 2):
+        for n, m in ((1, 0), (1, 1), (2, 0), (2, 1), (1, 2)):
+            for in_ in itertools.combinations(bins[b], n):
+                for out in itertools.combinations(bins[a], m):
+                    d = sum(sizes[i] for i in in_) - sum(sizes[i] for i in out)
+                    if d > 0 and fill[a] + d <= capacity and fill[a] + d > fill[b]:
+                        return a, b, in_, out
+    return None
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_search_ends_in_a_local_optimum(seed):
+    r = random.Random(seed)
+    low, high, n = [(60, 120), (150, 400), (20, 60), (200, 300)][seed % 4], 1000, 240
+    sizes = [r.randint(*low) * (1 + seed // 4) for _ in range(n)]
+    s = packing._Search(sizes, packing.best_fit(sizes, high), high)
+    s.run(packing.PASSES)
+    assert improving(sizes, s.bins, high) is None
