@@ -226,25 +226,27 @@ def containers(df: DataFrame, key: str, text: str, capacity: int = CAPACITY, voc
     """Every item's container: key, part, tokens, container (group-number).
 
     A text of at most ``capacity`` tokens is one item, never split. A longer one gives full parts, each a container of its own,
-    and its rest is an item. A null or empty text is an item of 0 tokens in a container of its group. Repeated keys are one
-    item, the longest; null keys likewise. An empty table gives an empty result. Other columns are not read.
+    and its rest is an item. A null or empty text is an item of 0 tokens in a container of its group. Equal rows of key and
+    text are one text; differing texts of one key, or of a null key, are texts of their own, each with its parts from 0. An empty
+    table gives an empty result. Other columns are not read.
     """
     s = Scratch(df.sparkSession)
-    counted = count_tokens(df, key, text, vocabulary).groupBy(f"`{key}`").agg(F.max("tokens").alias("tokens"))
-    sized = s.save(counted.select(F.col(f"`{key}`").alias("key"), "tokens"), "sizes")
+    texts = df.select(F.struct(F.col(f"`{key}`").alias("key"), F.sha2(F.col(f"`{text}`"), 256).alias("sha")).alias("id"), F.col(f"`{text}`").alias("text"))
+    counted = count_tokens(texts, "id", "text", vocabulary).groupBy("id.key", "id.sha").agg(F.max("tokens").alias("tokens"))
+    sized = s.save(counted, "sizes")
     n = sized.count()
     groups = max(1, -(-n // group_items))
     full = F.when(F.col("tokens") > capacity, F.floor(F.col("tokens") / capacity)).otherwise(0).cast("int")
     rest = F.col("tokens") - F.col("full") * capacity
     split = sized.withColumn("full", full)
-    parts = split.where("full > 0").select("key", F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("part"), F.lit(capacity).alias("tokens"))
-    whole = parts.withColumn("container", F.concat_ws("-", F.lit("full"), F.coalesce(F.col("key").cast("string"), F.lit("null")), "part"))
+    parts = split.where("full > 0").select("key", "sha", F.explode(F.sequence(F.lit(0), F.col("full") - 1)).alias("part"), F.lit(capacity).alias("tokens"))
+    whole = parts.withColumn("container", F.concat_ws("-", F.lit("full"), F.coalesce(F.col("key").cast("string"), F.lit("null")), "sha", "part"))
     items = split.where((rest > 0) | (F.col("full") == 0)).select(
-        "key", F.col("full").alias("part"), rest.cast("int").alias("tokens"), F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("group")
+        "key", "sha", F.col("full").alias("part"), rest.cast("int").alias("tokens"), F.pmod(F.xxhash64("key", "sha"), F.lit(groups)).cast("int").alias("group")
     )
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["tokens", "key", "part"], na_position="first")  # the result does not depend on the order of arrival
+        pdf = pdf.sort_values(["tokens", "key", "sha", "part"], na_position="first")  # the result does not depend on the order of arrival
         g = pdf["group"].iloc[0]
         return pd.DataFrame({"key": pdf["key"], "part": pdf["part"], "tokens": pdf["tokens"], "container": [f"{g}-{c}" for c in pack(pdf["tokens"].tolist(), capacity, passes)]})
 

@@ -76,6 +76,21 @@ def test_containers(spark):
     assert sorted(map(repr, out)) == sorted(map(repr, again))
 
 
+def test_texts_of_one_key_stay_apart(spark):
+    long = "lantern window 7 " * 9000
+    rows = [(1, "one"), (1, "one"), (1, "two words"), (2, None), (2, ""), (None, "three"), (None, "four more words"), (None, "three"), (3, long), (3, long + "x"), (None, long)]
+    out = packing.containers(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    count = defaultdict(int)
+    for i, t in set(rows):
+        count[i] += len(encoder().encode_ordinary(t)) if t else 0
+    got, fill = defaultdict(int), defaultdict(int)
+    for r in out:
+        got[r.doc_id] += r.tokens
+        fill[r.container] += r.tokens
+    assert got == count and max(fill.values()) <= packing.CAPACITY
+    assert sum(r.part == 0 for r in out) == len(set(rows))
+
+
 def test_no_documents(spark):
     assert packing.containers(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").count() == 0
 
