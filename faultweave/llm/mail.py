@@ -82,12 +82,20 @@ def html_text(markup: str) -> str:
     return html.unescape(_TAG.sub(" ", text)).replace("\xa0", " ")
 
 
+def _plain(fields: dict[str, str], body: str, attached: bool, attachments: bool) -> list[Part]:
+    return [] if attached and not attachments else [Part("plain", attached, _transfer(body, fields.get("content-transfer-encoding", ""), "utf-8"))]
+
+
 def _read(fields: dict[str, str], body: str, depth: int, attachments: bool) -> list[Part]:
+    """The text parts of a body. A multipart that cannot be split (no boundary, one that begins no part, nested too deep) and a
+    message nested too deep are read as one plain text."""
     kind = fields.get("content-type", "text/plain").strip().lower() or "text/plain"
     attached = fields.get("content-disposition", "").lower().startswith("attachment")
     if kind.startswith("multipart/") and depth < 20 and (m := _BOUNDARY.search(fields.get("content-type", ""))):
         mark = "--" + (m.group(1) or m.group(2))
         pieces = ("\n" + body).split("\n" + mark)
+        if len(pieces) == 1 or pieces[1].startswith("--"):
+            return _plain(fields, body, attached, attachments)
         parts: list[Part] = []
         for piece in pieces[1:]:
             if piece.startswith("--"):
@@ -101,6 +109,8 @@ def _read(fields: dict[str, str], body: str, depth: int, attachments: bool) -> l
     if kind.startswith("message/") and depth < 20:
         head, inner = split_message(_transfer(body, fields.get("content-transfer-encoding", ""), "utf-8"))
         return [Part("plain", attached, read_header(head)), *_read(_fields(head), inner, depth + 1, attachments)]
+    if kind.startswith(("multipart/", "message/")):
+        return _plain(fields, body, attached, attachments)
     if not kind.startswith("text/") or attached and not attachments:
         return []
     charset = m.group(1) if (m := _CHARSET.search(fields.get("content-type", ""))) else "utf-8"

@@ -65,3 +65,14 @@ def test_own_text():
     assert mail.own_text(body) == "First of mine.\nSecond line.\n\nBetween.\n\nAfter it."
     assert mail.own_text("Hola Ana,\n\n> todo\n") == ""
     assert mail.own_text("jardÃ­n extraÃ±o") == "jardín extraño"
+
+
+def test_multipart_that_cannot_be_split():
+    deep = "innermost words"
+    for i in range(25):
+        deep = f'--b{i}\nContent-Type: {f"multipart/mixed; boundary=b{i - 1}" if i else "text/plain"}\n\n{deep}\n--b{i}--'
+    for kind, body in (("multipart/mixed", "--x\n\nlost words\n--x--"), ('multipart/mixed; boundary="never"', "\nlost words\n"), ("multipart/mixed; boundary=b24", deep)):
+        for words in ("lost words", "innermost words"):
+            assert (words in mail.visible_text(message(body, kind=kind))) == (words in body)
+            assert any(words in p.text for p in mail.parts_of(message(body, kind=kind))[1]) == (words in body)
+    assert "lost words" not in mail.visible_text(message("pre\n--x\n\nshown\n--x--\nlost words", kind="multipart/mixed; boundary=x"))
