@@ -106,6 +106,18 @@ def p5_table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_object").alias("objects"), F.count_if(F.col("parent_id") != "").alias("below_another_table"))
 
 
+def p5_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table of events with its inlined fields."""
+    rows, layout = _shredded(spark, sf_dir, {shred.ROOT})
+    return shred.flat_table(rows.where(F.col("is_object") & (F.col("row_id") == "")), ["run_id"], layout, shred.ROOT)
+
+
+def p5_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table of attempts with its inlined fields; ``position`` is the attempt's place."""
+    rows, layout = _shredded(spark, sf_dir, {"attempts"})
+    return shred.flat_table(rows.where("is_object"), ["run_id"], layout, "attempts")
+
+
 def p5_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat table of steps with its inlined fields and the keys of its parents."""
     rows, layout = _shredded(spark, sf_dir, {"steps"})
@@ -138,4 +150,4 @@ def p6_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("inserted_at", "dt")})
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pair_bursts, p2_found, p2_hourly_counts, p3_found, p3_orphan_report, p5_found, p5_table_sizes, p5_steps, p6_found, p6_messages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pair_bursts, p2_found, p2_hourly_counts, p3_found, p3_orphan_report, p5_found, p5_table_sizes, p5_events, p5_attempts, p5_steps, p6_found, p6_messages)}

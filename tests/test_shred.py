@@ -186,3 +186,19 @@ def test_query_equals_brute_force(spark):
         want |= {(r.run_id, *c) for c in brute_cases(r.text, r.is_array, r.ord)}
     assert {tuple(r) for r in preparation.p5_found(spark, sf).collect()} == want
     assert table(spark, sf, "app_run_logs").count() > 0
+
+
+def test_flat_tables_have_every_record(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    flat = {n: preparation.QUERIES[f"p5_{n}"](spark, sf) for n in ("events", "attempts", "steps")}
+    rows = preparation._nested(spark, sf).collect()
+    events = [(r.run_id, o, e) for r in rows for o, e in shred.events_of(r.text, r.ord, r.is_array)]
+    scalar = {k for _, _, e in events for k, v in e.items() if not isinstance(v, (dict, list)) and shred._unwrapped(v) is v}
+    assert scalar and scalar <= set(flat["events"].columns) | {"run_id", "event_ord", "position"}
+    for n, df in flat.items():
+        df.write.parquet(f"{tmp_path}/{n}")
+    written = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in flat}
+    assert sorted((r.run_id, r.event_ord) for r in written["events"].collect()) == sorted((i, o) for i, o, _ in events)
+    want = {(r.run_id, *c) for r in rows for c in brute_cases(r.text, r.is_array, r.ord)}
+    assert {(r.run_id, r.event_ord, r.position, -1) for r in written["attempts"].collect()} == {c for c in want if c[3] == -1}
+    assert {(r.run_id, r.event_ord, r.attempt_ord, r.position) for r in written["steps"].collect()} == {c for c in want if c[3] != -1}
