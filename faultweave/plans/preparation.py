@@ -137,11 +137,11 @@ def _stored(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return store.compact()
 
 
-def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir).where(F.col(COPIES) > 1).select("run_id", "event_ord")
+_MESSAGE = "src_app_name", "type", "func", "tag", "err_msg", "note_message", "entity", "fingerprint", "dt", "raw_event"
 
 
-_MESSAGE = "src_app_name", "type", "func", "tag", "err_msg", "note_message", "entity", "fingerprint", "dt", "raw_event"
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, *_MESSAGE).where(F.col(COPIES) > 1).select("run_id", "event_ord")
 
 
 def p6_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

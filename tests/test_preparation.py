@@ -165,3 +165,18 @@ def test_compaction_does_not_shuffle(spark):
     assert "Exchange" not in plan
     out = store.compact()
     assert out.count() == 1000 and out.where(f"at = 2 AND {COPIES} = 3").count() == 1000
+
+
+def test_p6_found_keeps_the_messages(spark, monkeypatch):
+    from faultweave.plans import preparation
+
+    kept = []
+    compact = preparation.UpsertStore.compact
+
+    def spy(store):
+        kept.append(compact(store))
+        return kept[-1]
+
+    monkeypatch.setattr(preparation.UpsertStore, "compact", spy)
+    preparation.p6_found(spark, "/root/testdata/sf0.001").count()
+    assert set(preparation._MESSAGE) <= set(kept[0].columns)
