@@ -1,6 +1,6 @@
 """References to records that do not exist.
 
-A blocked Bloom filter of the parent keys, broadcast after a check of its size, proves most orphans; only the references that
+A blocked Bloom filter of the parent keys, broadcast if it is small and else joined by block, proves most orphans; only the references that
 pass it are joined exactly with the parents. References are made distinct before anything is joined, so a key that a third of
 all rows name is one row in the joins.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A filter of more bits than this (8 MB of filter) is not broadcast; then every reference goes through the exact join.
+#: A filter of more bits than this (8 MB of filter) is not broadcast; then its words and the references are shuffled by block.
 MAX_BITS = 1 << 26
 BITS_PER_KEY = 12
 _WORD = 64
@@ -51,11 +51,10 @@ def orphans(refs: DataFrame, parents: DataFrame, key: str, parent_key: str, max_
     p = keys.distinct()
     n = keys.agg(F.approx_count_distinct("__parent", 0.05)).first()[0]  # sketches of the map tasks; no exchange of keys
     blocks = filter_blocks(n)
-    if blocks * _WORD > max_bits:
-        return _exact(r, p, key)
     words = bloom_filter(keys, "__parent", blocks).select(F.col("block").alias("__block"), F.col("bits").alias("__bits"))
     k = F.col(f"`{key}`")
-    marked = r.withColumn("__block", _block(k, blocks)).join(F.broadcast(words), "__block", "left")
+    words = F.broadcast(words) if blocks * _WORD <= max_bits else words.hint("merge")
+    marked = r.withColumn("__block", _block(k, blocks)).join(words, "__block", "left")
     passes = F.coalesce(F.col("__bits").bitwiseAND(_mask(k)) == _mask(k), F.lit(False))
     tested = marked.withColumn("__maybe", passes).select(*(F.col(f"`{c}`") for c in r.columns), "__maybe")
     proven = tested.where(~F.col("__maybe")).drop("__maybe")

@@ -180,3 +180,11 @@ def test_p6_found_keeps_the_messages(spark, monkeypatch):
     monkeypatch.setattr(preparation.UpsertStore, "compact", spy)
     preparation.p6_found(spark, "/root/testdata/sf0.001").count()
     assert set(preparation._MESSAGE) <= set(kept[0].columns)
+
+
+def test_large_filter_is_joined_by_block(spark):
+    p, f = spark.range(0, 5000, 2).select(F.col("id").cast("string").alias("id")), spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    out = orphans.orphans(f, p, "k", "id", max_bits=1)
+    assert {int(r.k) for r in out.collect()} == set(range(1, 5000, 2)) and out.count() == 2500
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan and "strategy=broadcast" not in plan
