@@ -1,20 +1,26 @@
 """Messages delivered more than once: an idempotent upsert store.
 
-Storage is a table hash-bucketed by the identifier. Every upserted batch adds one run per bucket, sorted by the
-identifier and with equal identifiers already collapsed; compaction reads a bucket's sorted runs together (the scan keeps
-the bucketing, so nothing is shuffled again), merges them and leaves one row per identifier.
+Storage is hash-bucketed by the identifier. Every upserted batch adds one run to each bucket, sorted by the identifier and with
+equal identifiers already collapsed. Compaction reads a bucket's runs one after the other in one task (the scan keeps the
+bucketing, so nothing is shuffled again). The task's sorter is a natural merge sort (TimSort): it finds the sorted runs in what it
+reads and merges them, n log(runs) comparisons, spilling to disk where a bucket exceeds memory; one pass over the merged order
+then collapses equal identifiers, which are neighbours.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultweave.sources.tables import Scratch
+from faultweave.sources.tables import Scratch, Versions
 
-COPIES, BATCH, COMPACTED = "__copies", "__batch", "__compacted"
+COPIES, RUN = "__copies", "__run"
+#: Rows of a bucket at most after a compaction, on average; beyond it the compaction makes more buckets.
+BUCKET_ROWS = 4_000_000
 _ROW = "__row"
 
 
@@ -33,80 +39,98 @@ def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return out.select(*(F.col(f"`{k}`") if k in keys else F.col(f"{_ROW}.row.`{k}`").alias(k) for k in names if k != COPIES), COPIES)
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 class UpsertStore:
     """Hash-bucketed, sorted storage of messages by identifier.
 
-    ``upsert(batch_id, df)`` is idempotent: a batch id that the manifest holds is skipped, and a batch that was written
-    twice because the first attempt died before its manifest entry counts once. ``compact()`` merges all runs into a new
-    table and switches to it by renaming the manifest. Rows of one identifier collapse to the one with the greatest
-    ``order`` columns (nulls lowest), ties by the whole row; ``__copies`` counts the deliveries over all batches.
+    ``upsert(batch_id, df)`` is idempotent: a batch id that the store's state holds is skipped, and what a writer left that died
+    before it published is never read, since its run is not named by the state. ``compact()`` merges all runs into a new folder
+    and publishes that; the old one goes with the next publication. Rows of one identifier collapse to the one with the
+    greatest ``order`` columns (nulls lowest), ties by the whole row; ``__copies`` counts the deliveries over all batches.
     Null identifiers are kept as one identifier; empty batches add an empty run; columns of any name, except those that
-    start with two underscores, pass through.
+    start with two underscores, pass through. Two writers of one store: the slower one gets a ``ConcurrentWriterError``.
     """
 
-    def __init__(self, spark: SparkSession, keys: list[str], order: list[str], buckets: int | None = None, path: str | None = None):
-        self.spark, self.keys, self.order = spark, list(keys), list(order)
+    def __init__(self, spark: SparkSession, keys: list[str], order: list[str], buckets: int | None = None, path: str | None = None, bucket_rows: int = BUCKET_ROWS):
+        self.spark, self.keys, self.order, self.bucket_rows = spark, list(keys), list(order), bucket_rows
         self.files = Scratch(spark, path)
-        self.manifest = self.files.read_json("manifest.json") or {"version": 0, "batches": [], "buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))}
-        self.name = f"fw_upsert_{uuid.uuid4().hex}"
-
-    @property
-    def _folder(self) -> str:
-        return f"t_{self.manifest['version']:06d}"
-
-    def _one(self, df: DataFrame, keys: list[str]) -> DataFrame:
-        return keep_one(df, keys, [F.col(f"`{c}`") for c in self.order])
-
-    def _append(self, df: DataFrame, folder: str) -> None:
-        (
-            df.write.format("parquet").option("path", self.files.at(folder)).option("compression", "zstd")
-            .bucketBy(self.manifest["buckets"], *self.keys).sortBy(*self.keys).mode("append").saveAsTable(f"{self.name}_{folder}")
-        )
-
-    def _open(self) -> None:
-        """Register the current folder, if another session wrote it."""
-        if self.manifest["batches"] and not self.spark.catalog.tableExists(f"{self.name}_{self._folder}"):
-            schema = self.spark.read.parquet(self.files.at(self._folder)).schema
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-            keys = ", ".join(f"`{k}`" for k in self.keys)
-            self.spark.sql(
-                f"CREATE TABLE {self.name}_{self._folder} ({cols}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
-                f"INTO {self.manifest['buckets']} BUCKETS LOCATION '{self.files.at(self._folder)}'"
-            )
+        #: batches: ids; folder: where the runs are; runs: their names; buckets: how many; schema: of the rows; old: folders that the version before this one replaced
+        self.state = Versions(self.files, "messages", {"batches": [], "folder": self._new_folder(), "runs": [], "buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "schema": None, "old": []})
+
+    @staticmethod
+    def _new_folder() -> str:
+        return f"t-{uuid.uuid4().hex}"
+
+    def _one(self, df: DataFrame) -> DataFrame:
+        return keep_one(df, self.keys, [F.col(f"`{c}`") for c in self.order])
+
+    @contextmanager
+    def _named(self, folder: str, schema: str, buckets: int) -> Iterator[str]:
+        """A folder of runs as a bucketed table that is in the catalog for a moment; the files stay."""
+        name, keys = f"fw_{uuid.uuid4().hex}", ", ".join(f"`{k}`" for k in self.keys)
+        self.spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{self.files.at(folder)}'")
+        try:
+            yield name
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def _append(self, df: DataFrame, folder: str, buckets: int) -> None:
+        """Add a run: a sorted file for each bucket. The exchange before it has as many partitions as there are buckets, so that a task
+        writes whole buckets."""
+        key = "spark.sql.shuffle.partitions"
+        usual = self.spark.conf.get(key)
+        with self._named(folder, _ddl(df), buckets) as name:
+            self.spark.conf.set(key, buckets)
+            try:
+                df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, *self.keys).sortBy(*self.keys).mode("append").saveAsTable(name)
+            finally:
+                self.spark.conf.set(key, usual)
+
+    def _table(self) -> DataFrame:
+        """The rows of the runs that belong to the store."""
+        v = self.state.value
+        with self._named(v["folder"], v["schema"], v["buckets"]) as name:
+            return self.spark.table(name).where(F.col(RUN).isin(v["runs"]))
 
     def upsert(self, batch_id: str, df: DataFrame) -> bool:
-        """Add a batch as one sorted run per bucket. False: the manifest already holds this batch."""
-        if batch_id in self.manifest["batches"]:
+        """Add a batch as one sorted run per bucket. False: the store already holds this batch."""
+        was = self.state.value
+        if batch_id in was["batches"]:
             return False
-        self._open()
-        self._append(self._one(df, self.keys).withColumn(BATCH, F.lit(batch_id)), self._folder)
-        self.manifest = self.manifest | {"batches": [*self.manifest["batches"], batch_id]}
-        self.files.write_json("manifest.json", self.manifest)
+        self.state.check()
+        run = uuid.uuid4().hex
+        rows = self._one(df).withColumn(RUN, F.lit(run))
+        schema = _ddl(rows)
+        if was["schema"] not in (None, schema):
+            raise ValueError(f"the store's columns are {was['schema']}, not {schema}")
+        self._append(rows, was["folder"], was["buckets"])
+        self._publish(was | {"batches": [*was["batches"], batch_id], "runs": [*was["runs"], run], "schema": schema}, [])
         return True
 
+    def _publish(self, value: dict, replaced: list[str]) -> None:
+        old = self.state.value["old"]
+        self.state.publish(value | {"old": replaced})
+        for folder in old:
+            self.files.drop(folder)
+
     def merged(self) -> DataFrame:
         """The collapsed rows over all runs: each bucket's runs are read together, without an exchange, and merged."""
-        if not self.manifest["batches"]:
+        if not self.state.value["batches"]:
             raise ValueError("nothing was upserted")
-        self._open()
-        rows = self.spark.table(f"{self.name}_{self._folder}").where(F.col(BATCH).isin(*self.manifest["batches"], COMPACTED))
-        return self._one(self._once_per_batch(rows), self.keys)
-
-    def _once_per_batch(self, rows: DataFrame) -> DataFrame:
-        """A batch that was written twice holds every identifier twice; one of them counts."""
-        rest = [c for c in rows.columns if c not in (*self.keys, BATCH)]
-        one = rows.groupBy(*(f"`{k}`" for k in self.keys), BATCH).agg(F.max(F.struct(*(F.col(f"`{c}`") for c in rest))).alias(_ROW))
-        return one.select(*(F.col(f"`{c}`") if c in self.keys else F.col(f"{_ROW}.`{c}`").alias(c) for c in rows.columns if c != BATCH))
+        return self._one(self._table().drop(RUN))
 
     def compact(self) -> DataFrame:
-        """Merge the runs into a new table, switch the manifest to it, then remove the old one."""
-        rows, old = self.merged().withColumn(BATCH, F.lit(COMPACTED)), self._folder
-        after = self.manifest | {"version": self.manifest["version"] + 1}
-        folder = f"t_{after['version']:06d}"
-        self.files.drop(folder)
-        self._append(rows, folder)
-        self.manifest = after
-        self.files.write_json("manifest.json", self.manifest)
-        self.spark.sql(f"DROP TABLE {self.name}_{old}")
-        self.files.drop(old)
-        return self.spark.table(f"{self.name}_{folder}").drop(BATCH)
+        """Merge the runs into one, publish it, and return its rows. Where buckets have outgrown ``bucket_rows`` there are more of them
+        afterwards; only then rows are shuffled."""
+        self.state.check()
+        was, run, folder = self.state.value, uuid.uuid4().hex, self._new_folder()
+        rows, buckets = self.merged().withColumn(RUN, F.lit(run)), was["buckets"]
+        if (n := self._table().count()) > buckets * self.bucket_rows:  # from the files' footers
+            buckets = -(-n // self.bucket_rows)
+            rows = rows.repartition(buckets, *(F.col(f"`{k}`") for k in self.keys))
+        self._append(rows, folder, buckets)
+        self._publish(was | {"folder": folder, "runs": [run], "buckets": buckets}, [was["folder"]])
+        return self._table().drop(RUN)

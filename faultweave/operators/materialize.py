@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from faultweave.functions import classify as taxonomy
 from faultweave.functions import text as tx
 from faultweave.functions.ids import canonical_run_id
-from faultweave.sources.tables import PRODUCERS, SELF_APP, Scratch
+from faultweave.sources.tables import PRODUCERS, SELF_APP
 
 EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
 
@@ -58,11 +58,8 @@ def _is_array(v: Column) -> Column:
 def exploded(logs: DataFrame) -> DataFrame:
     """One row per array element with its 0-based place ``event_ord`` (kept across malformed elements) and its VARIANT ``event``."""
     parsed = logs.withColumn("__v", F.when(F.col("warn_error_logs").rlike(r"\A\s*\["), F.try_parse_json("warn_error_logs")))
-    parsed.createOrReplaceTempView("__fw_parsed")
-    spark = logs.sparkSession
-    out = spark.sql("SELECT p.*, e.pos AS event_ord, e.value AS event FROM __fw_parsed p, LATERAL variant_explode(p.__v) e")
-    spark.catalog.dropTempView("__fw_parsed")
-    return out.drop("__v", "warn_error_logs")
+    elements = parsed.lateralJoin(logs.sparkSession.tvf.variant_explode(F.col("__v").outer()))
+    return elements.withColumnsRenamed({"pos": "event_ord", "value": "event"}).drop("__v", "key", "warn_error_logs")
 
 
 def _is_object(v: Column) -> Column:
@@ -85,10 +82,16 @@ def flatten(logs: DataFrame) -> DataFrame:
         tx.non_blank(tx.only_string(e, "$.note.job_id")).alias("job_id"), F.col("__sys").alias("system_id"), tx.entity(sme, F.col("__sys")).alias("entity"),
         tx.fingerprint(F.col("app_name"), tx.as_text(e, "$.func"), tx.as_text(e, "$.tag"), tx.as_text(e, "$.type"), F.col("__text")).alias("fingerprint"),
         F.lit(tx.FP_VERSION).cast("smallint").alias("fp_version"), F.left(F.col("__cls.category"), F.lit(64)).alias("error_category"), F.left(F.col("__cls.error_type"), F.lit(16)).alias("error_type"),
-        F.lit("").alias("phase"), event_time(tx.only_string(e, "$.dt")).alias("dt"), F.col("__text").alias("event_text"), F.translate(F.to_json(e), "\0", "").alias("raw_event"), "inserted_at",
+        F.lit("").alias("phase"), event_time(tx.only_string(e, "$.dt")).alias("dt"), F.col("__text").alias("event_text"), without_nul(F.to_json(e)).alias("raw_event"), "inserted_at",
     )
 
 
+def without_nul(json: Column) -> Column:
+    """JSON text without the character U+0000 in keys and values. It stands there as an escape, which only counts as one behind an even
+    number of backslashes; behind an odd number it is a backslash and five characters."""
+    return F.regexp_replace(json, r"(?<!\\)((?:\\\\)*)(?:\\u0000)+", "$1")
+
+
 def event_time(text: Column) -> Column:
     """The instant of a date text in milliseconds, null if it is none: ISO forms, and the long form of date printers."""
     iso = F.when(text.rlike(r"\A\s*[+-]?\d{4}-\d{2}(-\d{2})?([T ]\d{2}:\d{2}.*)?\s*\z"), text.try_cast("timestamp"))
@@ -115,25 +118,14 @@ def append_new(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFra
     return rows.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
 
 
-class Watermarks:
-    """Monotone cursors per source, kept in the file that also names the published version, so both change together."""
-
-    def __init__(self, files: Scratch):
-        self.files = files
-        self.state = files.read_json("watermarks.json") or {"version": 0, "cursors": {}, "batches": []}
+def moved(cursors: dict[str, str], source: str, to: datetime) -> dict[str, str]:
+    """The cursors (ISO texts by source) with one moved to ``to``, never back."""
+    return cursors | {source: max(cursor(cursors, source), to).isoformat()}
 
-    def read(self, source: str) -> datetime:
-        at = self.state["cursors"].get(source)
-        return datetime.fromisoformat(at) if at else EPOCH
 
-    def advance(self, source: str, to: datetime, batch_id: str) -> bool:
-        """Move a cursor, never back. False: this batch is known already, nothing changes."""
-        if batch_id in self.state["batches"]:
-            return False
-        cursors = self.state["cursors"] | {source: max(self.read(source), to).isoformat()}
-        self.state = {"version": self.state["version"] + 1, "cursors": cursors, "batches": [*self.state["batches"], batch_id]}
-        self.files.write_json("watermarks.json", self.state)
-        return True
+def cursor(cursors: dict[str, str], source: str) -> datetime:
+    at = cursors.get(source)
+    return datetime.fromisoformat(at) if at else EPOCH
 
 
 def advanced(state: DataFrame, moves: DataFrame) -> DataFrame:

@@ -71,7 +71,8 @@ class RunLog:
         return fine
 
     def _file(self, files: Scratch) -> None:
-        files.write_json(f"run-{self.run_id}.json", {"run_id": self.run_id, "log_events": self.events})
+        if not files.create(f"run-{self.run_id}.json", json.dumps({"run_id": self.run_id, "log_events": self.events})):
+            raise FileExistsError(self.run_id)
 
     def _row(self, files: Scratch) -> None:
         loud = [e for e in self.events if e["type"] != "INFO"]

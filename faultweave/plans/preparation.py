@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,15 +127,21 @@ def p5_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Batches in which the store gets the messages: weeks of arrival.
-_WEEK_US = 7 * 86_400_000_000
+_WEEK = timedelta(days=7)
 
 
 def _stored(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The compacted store of all messages, upserted in weekly batches. A batch is a range of arrival that reaches the scan; rows without
+    arrival come with the first."""
     rows = table(spark, sf_dir, "error_events").select(canonical_run_id("run_id").alias("run_id"), "event_ord", "inserted_at", *columns)
     store = UpsertStore(spark, ["run_id", "event_ord"], ["inserted_at"])
-    week = F.floor(F.coalesce(F.unix_micros("inserted_at"), F.lit(0)) / _WEEK_US)
-    for w in sorted(r.w for r in rows.select(week.alias("w")).distinct().collect()):  # bounded by the calendar
-        store.upsert(str(w), rows.where(week == w))
+    at = F.col("inserted_at")
+    span = table(spark, sf_dir, "error_events").agg(F.unix_micros(F.min(at)).alias("first"), F.unix_micros(F.max(at)).alias("last")).first()
+    first, last = span.first or 0, span.last or 0
+    epoch, week = datetime(1970, 1, 1, tzinfo=UTC), _WEEK // timedelta(microseconds=1)
+    for w in range(first // week, last // week + 1):  # bounded by the calendar
+        mine = (at >= F.lit(epoch + w * _WEEK)) & (at < F.lit(epoch + (w + 1) * _WEEK))
+        store.upsert(str(w), rows.where(mine | at.isNull() if w == first // week else mine))
     return store.compact()
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -13,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Event producers whose logs are materialized (fixed values).
 PRODUCERS = ("data_acquisition", "hhm_rpp_ge", "hhm_rpp_philips")
 
-#: The engine's own application name; its rows are never read back.
-SELF_APP = "incident-engine"
+#: The name under which this engine logs its own runs; its rows are never read back.
+SELF_APP = "faultweave"
 
 
 _shipped: set[str] = set()
@@ -60,9 +61,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder shared by driver and executors: ``spark.checkpoint.dir``, own only where that is unset."""
+    """The folder shared by driver and executors: ``spark.checkpoint.dir``. Where that is unset, an own one if all executors are
+    on this machine; on a cluster it has to be set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='faultweave-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -98,22 +102,70 @@ class Scratch:
         (w.partitionBy(*partition_by) if partition_by else w).parquet(self.at(name))
         return self.spark.read.schema(df.schema).parquet(self.at(name))
 
-    def write_json(self, name: str, value: dict) -> None:
-        """Publish a small JSON file: written beside its place, then renamed (atomic on HDFS and local disks)."""
-        tmp, final = self._hp(self.at(f"{name}.tmp")), self._hp(self.at(name))
-        out = self._fs.create(tmp, True)
-        out.write(bytearray(json.dumps(value).encode()))
+    def create(self, name: str, text: str) -> bool:
+        """Write a small file that must not exist: whole or not at all. False: it exists already."""
+        tmp, final = f"{name}.{uuid.uuid4().hex}.tmp", self.at(name)
+        out = self._fs.create(self._hp(self.at(tmp)), True)
+        out.write(bytearray(text.encode()))
         out.close()
-        if not self._fs.rename(tmp, final):
-            self._fs.delete(final, False)
-            if not self._fs.rename(tmp, final):
-                raise OSError(f"cannot publish {final}")
-
-    def read_json(self, name: str) -> dict | None:
-        if not self.exists(name):
-            return None
-        return json.loads("\n".join(r.value for r in self.spark.read.text(self.at(name)).collect()))
+        try:
+            if self._fs.getScheme() == "file":  # a link fails where the name is taken; rename would replace it
+                try:
+                    os.link(self._local(tmp), self._local(name))
+                    return True
+                except FileExistsError:
+                    return False
+            return not self.exists(name) and self._fs.rename(self._hp(self.at(tmp)), self._hp(final))  # refuses an existing target
+        finally:
+            self.drop(tmp)
+
+    def _local(self, name: str) -> str:
+        return self._hp(self.at(name)).toUri().getPath()
+
+    def read(self, name: str) -> str:
+        stream = self._fs.open(self._hp(self.at(name)))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def list(self, name: str = "") -> list[str]:
         p = self._hp(self.at(name)) if name else self._hp(self.path)
         return sorted(s.getPath().getName() for s in self._fs.listStatus(p)) if self._fs.exists(p) else []
+
+
+class ConcurrentWriterError(RuntimeError):
+    """Another writer has published since this one read."""
+
+
+class Versions:
+    """The small state of a store (what belongs to it, its cursors) in numbered files.
+
+    A version is written whole under another name and then moved to its own, which must not exist. Whenever a writer dies, readers
+    find the old version or the new one; of two writers that start from the same version one is refused. The last two versions stay.
+    """
+
+    def __init__(self, files: Scratch, name: str, start: dict):
+        self.files, self.name = files, name
+        self.number = max(self._numbers(), default=0)
+        self.value: dict = json.loads(files.read(self._file(self.number))) if self.number else start
+
+    def _file(self, number: int) -> str:
+        return f"{self.name}-{number:012d}.json"
+
+    def _numbers(self) -> list[int]:
+        return [int(m.group(1)) for n in self.files.list() if (m := re.fullmatch(rf"{re.escape(self.name)}-(\d{{12}})\.json", n))]
+
+    def check(self) -> None:
+        """Refuse to go on if another writer was faster; called before costly work, too."""
+        if max(self._numbers(), default=0) != self.number:
+            raise ConcurrentWriterError(f"{self.files.at(self.name)} has moved on from version {self.number}")
+
+    def publish(self, value: dict) -> None:
+        self.check()
+        if not self.files.create(self._file(self.number + 1), json.dumps(value)):
+            raise ConcurrentWriterError(f"version {self.number + 1} of {self.files.at(self.name)} was published by another writer")
+        self.number, self.value = self.number + 1, value
+        for old in self._numbers():
+            if old < self.number - 1:
+                self.files.drop(self._file(old))

@@ -6,6 +6,7 @@ so in ``foreachBatch`` with the batch id in the manifest, so that a replayed bat
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from faultweave.functions.ids import canonical_run_id
 from faultweave.operators import incidents
-from faultweave.sources.tables import Scratch
+from faultweave.sources.tables import Scratch, Versions
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -51,30 +52,30 @@ def sessions(events: DataFrame, gap: str = "30 minutes", lateness: str | None =
 class IncidentSink:
     """``foreachBatch`` target that keeps the incidents as versioned snapshots.
 
-    Each micro-batch is rolled up and merged with the current version into a new one, which the manifest then names together
+    Each micro-batch is rolled up and merged with the current version into a new one, which the sink's state then names together
     with the batch id; a batch id at or below the last one is skipped.
     """
 
     def __init__(self, spark: SparkSession, outcomes: DataFrame, path: str | None = None):
         self.spark, self.outcomes = spark, outcomes
         self.files = Scratch(spark, path)
-        self.manifest = self.files.read_json("manifest.json") or {"batch": -1, "version": None}
+        self.state = Versions(self.files, "incidents", {"batch": -1, "version": None})
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= self.manifest["batch"]:
+        if batch_id <= self.state.value["batch"]:
             return
+        self.state.check()
         delta = incidents.enrich(incidents.rollup(incidents.message(batch.where("fingerprint IS NOT NULL"))), self.outcomes)
         old = self.current()
         merged = incidents.merge(old, delta).drop("inserted") if old is not None else delta
-        version = f"v={batch_id:09d}"
+        version, before = f"v={batch_id:09d}-{uuid.uuid4().hex[:8]}", self.state.value["version"]
         self.files.save(merged, version)
-        before, self.manifest = self.manifest["version"], {"batch": batch_id, "version": version}
-        self.files.write_json("manifest.json", self.manifest)
+        self.state.publish({"batch": batch_id, "version": version})
         if before:
             self.files.drop(before)
 
     def current(self) -> DataFrame | None:
-        v = self.manifest["version"]
+        v = self.state.value["version"]
         return self.spark.read.parquet(self.files.at(v)) if v else None
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultweave.functions.ids import canonical_run_id
 from faultweave.operators import late, orphans, skew
-from faultweave.operators.dedupe import COPIES, UpsertStore, keep_one
+from faultweave.operators.dedupe import COPIES, RUN, UpsertStore, keep_one
 
 T0 = datetime(2026, 6, 1, tzinfo=UTC)
 
@@ -78,8 +78,8 @@ def test_late_batches_equal_one_batch(spark):
     df = spark.createDataFrame(rows, "source string, run_id string, item string, event_time timestamp, arrival timestamp")
     one = late.PeriodStore(spark)
     one.ingest("all", df)
-    many = late.ingest_by_arrival(late.PeriodStore(spark), df, days_per_batch=2)
-    assert len(many.manifest["batches"]) > 3
+    many = late.ingest_by_arrival(late.PeriodStore(spark), df)
+    assert len(many.state.value["batches"]) > 8 and many.state.value["closed"] > "2026-06-01" and many.expired().count() == one.expired().count() > 0
     assert sorted(map(tuple, one.counts().collect())) == sorted(map(tuple, many.counts().collect()))
     key = lambda s: Counter((x.source, x.run_id, x.item, x.event_time, x.arrival, x.status) for x in s.records().collect())
     assert key(one) == key(many)
@@ -148,8 +148,8 @@ def test_upsert_store_is_idempotent(spark):
     shown = lambda df: rows_of(df.select("id", "ord", "body", COPIES))
     assert shown(store.merged()) == want
     assert shown(store.compact()) == want
-    # a batch that was written but not entered in the manifest counts once when it is sent again
-    store._append(store._one(b2, store.keys).withColumn("__batch", F.lit("4")), store._folder)
+    # a batch that was written but not published counts once when it is sent again
+    store._append(store._one(b2).withColumn(RUN, F.lit("lost")), store.state.value["folder"], 4)
     assert shown(store.merged()) == want
     store.upsert("4", b2)
     assert {r.id: r[COPIES] for r in store.merged().collect()} == {"a": 4, "b": 1, "c": 2, None: 3}
@@ -165,6 +165,16 @@ def test_compaction_does_not_shuffle(spark):
     assert "Exchange" not in plan
     out = store.compact()
     assert out.count() == 1000 and out.where(f"at = 2 AND {COPIES} = 3").count() == 1000
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("fw_")]
+
+
+def test_compaction_makes_more_buckets(spark):
+    store = UpsertStore(spark, ["id"], ["at"], buckets=2, bucket_rows=100)
+    store.upsert("a", spark.range(1000).select("id", F.lit(1).alias("at")))
+    assert store.compact().count() == 1000 and store.state.value["buckets"] == 10
+    store.upsert("b", spark.range(500, 1500).select("id", F.lit(2).alias("at")))
+    plan = store.merged()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and store.compact().where("at = 2").count() == 1000 and store.merged().count() == 1500
 
 
 def test_p6_found_keeps_the_messages(spark, monkeypatch):

@@ -21,7 +21,7 @@ def test_run_log(spark, tmp_path):
     rows = spark.read.parquet(f"{path}/app_run_logs")
     assert [e["type"] for e in json.loads(rows.first().warn_error_logs)] == ["ERROR"]
     assert source_scan(rows, EPOCH, rows.first().inserted_at.replace(year=2100)).count() == 0
-    assert len(Scratch(spark, path).read_json(f"run-{log.run_id}.json")["log_events"]) == len(log.events)
+    assert len(json.loads(Scratch(spark, path).read(f"run-{log.run_id}.json"))["log_events"]) == len(log.events)
 
 
 def test_refusals(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultweave.functions import classify, text
 from faultweave.operators import materialize
-from faultweave.sources.tables import Scratch
+from faultweave.sources.tables import SELF_APP
 
 CURL = "  % Total    % Received % Xferd\n   Dload  Upload   Total\n 12 100k    0  12k\n 98 772k    0   6k\ncurl: (28) Operation timed out after 99 milliseconds with 7 bytes received"
 
@@ -106,16 +106,22 @@ def test_append_is_idempotent(spark):
     assert materialize.append_new(old.unionByName(got), new, ["run_id", "event_ord"]).count() == 0
 
 
-def test_watermarks_are_monotone(spark):
-    w = materialize.Watermarks(Scratch(spark))
+def test_cursors_are_monotone():
     late, early = datetime.fromisoformat("2026-06-02T00:00:00+00:00"), datetime.fromisoformat("2026-06-01T00:00:00+00:00")
-    assert w.read("s") == materialize.EPOCH and w.advance("s", late, "b1") and not w.advance("s", late, "b1") and w.advance("s", early, "b2")
-    assert materialize.Watermarks(w.files).read("s") == late
+    cursors = materialize.moved(materialize.moved({}, "s", late), "s", early)
+    assert materialize.cursor({}, "s") == materialize.EPOCH and materialize.cursor(cursors, "s") == late
+
+
+def test_raw_event_has_no_nul(spark):
+    cases = ['{"a":"x\\u0000y","k\\u0000":[{"b":"\\u0000\\u0000"}]}', '{"a":"\\\\u0000"}', '{"a":"\\\\\\u0000z"}']
+    df = logs(spark, "[" + ",".join(cases) + "]")
+    got = [json.loads(r.raw_event) for r in materialize.flatten(df).orderBy("event_ord").collect()]
+    assert got == [{"a": "xy", "k": [{"b": ""}]}, {"a": "\\u0000"}, {"a": "\\z"}]
 
 
 def test_config(monkeypatch):
     with pytest.raises(ValueError):
-        materialize.Config(producers=("incident-engine",))
+        materialize.Config(producers=(SELF_APP,))
     monkeypatch.setenv("MATERIALIZE_OVERLAP_MS", " ")
     assert materialize.Config.from_env().overlap.total_seconds() == 30
     monkeypatch.setenv("MATERIALIZE_OVERLAP_MS", "-1")
