@@ -1,5 +1,6 @@
 import random
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
@@ -60,4 +61,45 @@ def test_empty_and_zero(spark):
 
 def test_unsupported_score(spark):
     with pytest.raises(TypeError):
-        topn.top_n(spark.createDataFrame([("a", 1.5)], "g string, s double"), ["g"], ["s"], 1)
+        topn.top_n(spark.createDataFrame([("a", [1])], "g string, s array<int>"), ["g"], ["s"], 1)
+
+
+def sorted_by_spark(spark, df, group, order, n):
+    """The same by Spark's own order, in a window."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    w = Window.partitionBy(*group).orderBy(*(F.desc_nulls_last(o) for o in order))
+    return shown(df.where(F.col(order[0]).isNotNull()).distinct().withColumn("n", F.row_number().over(w)).where(F.col("n") <= n).select(*group, *order))
+
+
+def test_doubles_decimals_booleans_bytes(spark):
+    r = random.Random(6)
+    doubles = [0.0, -0.0, 1.5, -1.5, 5e-324, -5e-324, 1.7e308, -1.7e308, float("inf"), float("-inf"), float("nan"), 1 + 2**-52, 1.0, None, 3.25, -2.0**-1074]
+    big = [Decimal(x) for x in ("99999999999999999999999999.123456789012", "99999999999999999999999999.123456789011", "-99999999999999999999999999.123456789012", "0.000000000001", "-0.000000000001", "0", "12345678901234567890.5")]
+    rows = [(r.randrange(4), r.choice(doubles), r.choice([0.5, None, -3.0]), r.choice([*big, None]), Decimal(r.randrange(-500, 500)) / 100, r.choice([True, False, None]), r.choice([b"", b"a", b"a\x00", b"a\x00\x01", None]), i) for i in range(800)]
+    df = spark.createDataFrame(rows, "g int, d double, f float, x decimal(38,12), y decimal(9,2), b boolean, z binary, i int")
+    for order in (["d", "i"], ["f", "x", "i"], ["x", "d", "i"], ["y", "b", "z", "i"], ["b", "z", "y", "i"]):
+        for n in (1, 4, 30):
+            assert shown(topn.top_n(df, ["g"], order, n)) == sorted_by_spark(spark, df, ["g"], order, n), (order, n)
+
+
+def test_long_texts_with_a_long_shared_prefix(spark):
+    rows = [(i % 3, 1, "p" * 200_000 + str(i * 7919 % 1000).zfill(4 + i % 2) + "\0" * (i % 4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g int, s int, t string")
+    assert shown(topn.top_n(df, ["g"], ["s", "t"], 5)) == brute(rows, 5)
+
+
+def test_more_groups_than_are_broadcast(spark):
+    r = random.Random(2)
+    rows = [(r.choice(["hot", "hot", "warm", *map(str, range(60))]), r.randrange(50), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, s int, i int")
+    assert shown(topn.top_n(df, ["g"], ["s", "i"], 6, hot=5)) == brute(rows, 6)
+
+
+def test_unfounded_uniqueness_is_an_error(spark):
+    df = spark.createDataFrame([("a", 1)] * 5 + [("a", 2)], "g string, s int")
+    with pytest.raises(ValueError, match="unique"):
+        topn.top_n(df, ["g"], ["s"], 3, unique=True)
+    assert topn.top_n(df, ["g"], ["s"], 3).count() == 2
+    assert topn.top_n(df, ["g"], ["s"], 6, unique=True).count() == 6
