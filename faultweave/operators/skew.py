@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultweave.sources.tables import Scratch
+from faultweave.sources.tables import ship
 
 #: Rows of a partition at most, on average.
 PARTITION_ROWS = 2_000_000
@@ -83,6 +83,11 @@ def _partials(gap_us: int, width: int):
     return run
 
 
+def ranges_for(rows: int, least: int) -> int:
+    """How many ranges so many rows need: ``least``, more where one would exceed ``PARTITION_ROWS`` on average."""
+    return max(least, -(-rows // PARTITION_ROWS))
+
+
 def key_states(df: DataFrame, keys: list[str], time: str, tie: list[str], gap_seconds: int = 1800, partitions: int | None = None) -> DataFrame:
     """Per key: rows ``n``, rows with a time ``timed``, ``first_us``/``last_us`` (µs), ``bursts`` and ``max_gap_us``.
 
@@ -90,14 +95,14 @@ def key_states(df: DataFrame, keys: list[str], time: str, tie: list[str], gap_se
     rows without time count in ``n`` only, and a key with none has null first and last, 0 bursts and gap 0. Equal times are
     gaps of 0; repeated rows count as often as they occur (dedupe first). Other columns, whatever their names, are not read.
     No task gets more than its share of rows, however heavy a key is: the range bounds are sampled quantiles over
-    keys, time and ``tie``. There are ``partitions`` ranges; None: the session's number, more where a partition would exceed
-    ``PARTITION_ROWS``. The five or so columns are written once, so that sampling and sorting do not repeat what made ``df``.
+    keys, time and ``tie``. There are ``partitions`` ranges (see ``ranges_for``), by default as many as the session has
+    shuffle partitions.
     """
+    ship(df.sparkSession)
     cols = [F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]
     order = [F.col(f"`{t}`").alias(f"o{i}") for i, t in enumerate(tie)]
     rows = df.select(*cols, F.unix_micros(F.col(f"`{time}`")).alias("us"), *order)
-    rows = Scratch(df.sparkSession).save(rows, "rows")
-    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // PARTITION_ROWS))  # counted in the files' footers
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [c for c in rows.columns if c.startswith("k")] + [c for c in rows.columns if not c.startswith("k")]
     sorted_rows = rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
     schema = T.StructType([*rows.schema.fields[: len(keys)], *(T.StructField(f, T.LongType()) for f in _FIELDS)])

@@ -22,7 +22,9 @@ def event_records(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = event_records(spark, sf_dir, "fingerprint", "entity", "dt")
-    return skew.key_states(records, ["fingerprint", "entity"], "dt", ["run_id", "event_ord"])
+    deliveries = table(spark, sf_dir, "error_events").count()  # from the files' footers; there are no more records than that
+    ranges = skew.ranges_for(deliveries, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return skew.key_states(records, ["fingerprint", "entity"], "dt", ["run_id", "event_ord"], partitions=ranges)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
