@@ -27,7 +27,7 @@ from faultweave.sources.tables import Scratch, ship
 
 ROOT = "event"
 #: An object field with more distinct child names than this is a map: its children are data, not schema, and stay JSON text,
-#: except what belongs to tables. Of a map with more children than this that hold objects, those known from no other parent are data too.
+#: except what belongs to tables. So is the event itself.
 MAP_WIDTH = 256
 
 
@@ -133,7 +133,7 @@ def _edges(batches: Iterator[pa.RecordBatch], maps: set[str] = frozenset(), name
     for batch in batches:
         for text, ord_, is_array in zip(*(batch.column(i).to_pylist() for i in range(3))):
             for _, event in events_of(text, ord_, is_array):
-                todo = [(ROOT, False, event)]
+                todo = [(ROOT, ROOT in maps, event)]
                 while todo:
                     name, in_map, box = todo.pop()
                     if type(box) is list:
@@ -207,19 +207,23 @@ def analyse(df: DataFrame, text: Column, is_array: Column, named: set[str] = fro
     """The layout for all texts of ``df``; fields in ``named`` are tables in any case. The edges are made distinct on the executors.
 
     If there are maps, a second pass gives the edges without the maps' entries, so that the driver gets those of the schema, at
-    most ``MAP_WIDTH`` for each field name, and the names of fields that repeat or are shared."""
+    most ``MAP_WIDTH`` for each field name, and the names of fields that repeat or are shared. Of a field that scatters (more than
+    ``MAP_WIDTH`` children that hold objects) the children are data, too, however wide they are themselves; their names stay on the
+    executors unless other fields have them as well."""
     ship(df.sparkSession)
     source = df.select(text.alias("t"), F.lit(0).alias("o"), is_array.alias("a"))
     edges = Scratch(df.sparkSession).save(source.mapInArrow(_edges, _EDGE).distinct(), "edges")
     holds = F.col("kind") != "value"
     fan = edges.groupBy("parent").agg(F.count_distinct("child").alias("width"), F.count_distinct(F.when(holds, F.col("child"))).alias("boxes"))
-    wide = {r.parent: r.boxes for r in fan.where((F.col("width") > MAP_WIDTH) & (F.col("parent") != ROOT)).toLocalIterator()}
-    if not wide:
+    wide = fan.where(F.col("width") > MAP_WIDTH)
+    if wide.isEmpty():
         return Layout([tuple(r) for r in edges.toLocalIterator()], named=named)
-    elsewhere = ~F.col("parent").isin([m for m, n in wide.items() if n > MAP_WIDTH])
-    children = edges.where(holds).groupBy("child").agg(F.max(F.col("kind") == "array").alias("repeats"), F.count_distinct("parent").alias("parents"), F.max(elsewhere).alias("elsewhere"))
-    maps, tables = set(wide), set(named)
-    tables |= {r.child for r in children.where(F.col("elsewhere") & (F.col("repeats") | (F.col("parents") > 1))).select("child").toLocalIterator()} - maps
+    scatters = fan.select("parent", (F.col("boxes") > MAP_WIDTH).alias("scatters"))
+    children = edges.where(holds).join(scatters, "parent").groupBy("child").agg(F.max(F.col("kind") == "array").alias("repeats"), F.count_distinct("parent").alias("parents"), F.max(~F.col("scatters")).alias("elsewhere"))
+    schema = children.where("elsewhere")
+    of_schema = (F.col("parent") == ROOT) | F.col("child").isNotNull()
+    maps = {r.parent for r in wide.join(schema.select("child"), F.col("parent") == F.col("child"), "left").where(of_schema).select("parent").toLocalIterator()}
+    tables = set(named) | {r.child for r in schema.where(F.col("repeats") | (F.col("parents") > 1)).select("child").toLocalIterator()} - maps
     found = source.mapInArrow(lambda batches: _edges(batches, maps, tables), _EDGE).distinct()
     return Layout([tuple(r) for r in found.toLocalIterator()], maps, tables)
 
@@ -277,7 +281,7 @@ def shred_event(event: dict, names: set[str], maps: set[str] = frozenset(), only
                 add(*t)
             return _text(kept if taken else v)
 
-        whole = is_object and not (table in maps and id_)
+        whole = is_object and table not in maps
         if not whole:
             fields["value"] = rest(value, id_) if is_object or type(value) is list else _text(value)
         inner = [("", value)] if whole else []

@@ -36,7 +36,32 @@ _ARRIVED = f"""
   ) WHERE t IS NOT NULL AND arrival <= date_trunc('hour', t) + INTERVAL 73 HOUR
   GROUP BY table_name, run_id, item, date_trunc('day', t), CASE WHEN run_id IS NULL OR item IS NULL THEN (t, arrival) END"""
 
+# p5: events, then a walk over what they hold. A field value that is a string of an object or array counts as that. State e: below an event, A: an
+# array of attempts, a: an attempt or below it (fresh: the attempt itself), S: an array of steps, s: a step.
+_OPENED = "CASE WHEN json_type(k.value) = 'VARCHAR' AND w.obj AND json_valid(k.value ->> '$') AND regexp_matches(k.value ->> '$', '^[ \\t\\r\\n]*[{[]') THEN (k.value ->> '$')::JSON ELSE k.value END"
+_RAW = "CASE WHEN json_type(j) = 'VARCHAR' THEN CASE WHEN json_valid(j ->> '$') THEN (j ->> '$')::JSON END ELSE j END"
+_WALK = f"""
+  WITH RECURSIVE logged AS (
+    SELECT rid, unnest(l) AS j, (generate_subscripts(l, 1) - 1)::INT AS ord FROM (
+      SELECT {canonical("run_id")} AS rid, json_extract(warn_error_logs, '$[*]') AS l FROM app_run_logs WHERE json_valid(warn_error_logs) AND json_type(warn_error_logs) = 'ARRAY')),
+  raw AS (SELECT rid, ord, {_RAW} AS j FROM (SELECT {canonical("run_id")} AS rid, event_ord AS ord, raw_event::JSON AS j FROM error_events WHERE json_valid(raw_event))),
+  events AS (SELECT DISTINCT rid, ord, j::VARCHAR AS j FROM (SELECT rid, ord, j FROM logged UNION ALL SELECT rid, ord, j FROM raw) WHERE json_type(j) = 'OBJECT'),
+  walk(rid, ord, att, step, state, fresh, j, obj) AS (
+    SELECT rid, ord, -1, -1, 'e', false, j::JSON, true FROM events
+    UNION ALL
+    SELECT rid, ord,
+           CASE WHEN state = 'e' AND named AND kind = 'OBJECT' THEN 0 WHEN state = 'A' THEN place ELSE att END,
+           CASE WHEN state = 'a' AND named AND kind = 'OBJECT' THEN 0 WHEN state = 'S' THEN place ELSE step END,
+           CASE WHEN state = 'e' AND named THEN CASE kind WHEN 'OBJECT' THEN 'a' ELSE 'A' END WHEN state = 'A' THEN 'a'
+                WHEN state = 'a' AND named THEN CASE kind WHEN 'OBJECT' THEN 's' ELSE 'S' END WHEN state = 'S' THEN 's' ELSE state END,
+           kind = 'OBJECT' AND (state IN ('A', 'S') OR named), v, kind = 'OBJECT'
+    FROM (
+      SELECT w.*, v, json_type(v) AS kind, w.obj AND (w.state = 'e' AND key = 'attempts' OR w.state = 'a' AND key = 'steps') AS named, CASE WHEN NOT w.obj THEN key::INT END AS place
+      FROM (SELECT w.rid, w.ord, w.att, w.step, w.state, w.obj, k.key, {_OPENED} AS v FROM walk w, json_each(w.j) k WHERE w.state <> 's') w
+      WHERE json_type(v) IN ('OBJECT', 'ARRAY')))"""
+
 SQL = {
+    "p5_found": f"{_WALK} SELECT DISTINCT rid AS run_id, ord AS event_ord, att AS attempt_ord, step AS step_ord FROM walk WHERE fresh AND state IN ('a', 's')",
     "p1_found": f"""
       WITH records AS ({_RECORDS}), total AS (SELECT count(*) AS n FROM records)
       SELECT fingerprint, entity FROM records, total WHERE fingerprint IS NOT NULL

@@ -143,6 +143,21 @@ def test_single_objects_are_cases(spark, tmp_path):
     assert p5_of(spark, tmp_path, rows) == {(uuid_of(1), 0, 0, -1), (uuid_of(1), 0, 0, 0)}
 
 
+def test_names_that_are_data_stay_on_the_executors(spark):
+    """Hosts, each with as many metrics as hosts, and events without two fields of one name: only names of the schema are collected."""
+    many = range(shred.MAP_WIDTH + 1)
+    hosts = {"note": {"hosts": {f"h{i}": {**{f"m{i}x{j}": j for j in many}, "attempts": {"no": i}} for i in many}}}
+    out, layout = run_cases(spark, [("a", 0, False, json.dumps(hosts))])
+    assert layout.maps == {"hosts"} and set(layout.tables) == {"event", "attempts"} and found(out) == {("a", 0, 0, -1)}
+    assert out.where("table_name = 'attempts'").count() == len(many)
+    events = [("a", i, False, json.dumps({f"f{i}": i, f"g{i}": {"attempts": [{"no": i, "steps": [{}]}]}})) for i in many]
+    out, layout = run_cases(spark, events)
+    assert layout.maps == {"event"} and layout.tables == {"event": [], "attempts": ["no"], "steps": []}
+    assert found(out) == {("a", *c) for _, i, _, t in events for c in brute_cases(t, False, i)}
+    kept = {r.event_ord: json.loads(r.fields["value"]) for r in out.where("table_name = 'event'").collect()}
+    assert kept == {i: {f"f{i}": i, f"g{i}": {}} for i in many}
+
+
 def test_map_keeps_what_no_table_has(spark):
     wide = {f"k{i}": i for i in range(shred.MAP_WIDTH + 1)}
     event = {"m": json.dumps({**wide, "h1": {"tries": [{"n": 1}], "z": 3}, "h2": {"tries": [{"n": 2}]}})}
