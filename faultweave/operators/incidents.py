@@ -65,19 +65,22 @@ def enrich(rolled: DataFrame, outcomes: DataFrame) -> DataFrame:
 _GUARDED = "sample_run_id", "sample_message", "category", "category_source", "error_type", "func"
 
 
-def merge(old: DataFrame, delta: DataFrame) -> DataFrame:
+def merge(old: DataFrame, delta: DataFrame, now: datetime | None = None) -> DataFrame:
     """The next version of the incidents: counts add up, times widen, sets unite, and the sample columns change together if the delta's
-    representative is later. ``inserted`` says that a key is new."""
+    representative is later. ``inserted`` says that a key is new. With ``now`` there are ``created_at`` and ``updated_at``, which changes
+    for the keys that the delta has and stays for the others."""
     o, d = old.select(F.struct("*").alias("o"), *KEYS), delta.select(F.struct("*").alias("d"), *KEYS)
     j = o.join(d, KEYS, "full_outer")
     newer = F.coalesce(F.struct("d.last_seen", "d.sample_run_id") > F.struct("o.last_seen", "o.sample_run_id"), F.col("o").isNull())
     both = lambda c: F.array_sort(F.array_distinct(F.concat(F.coalesce(f"o.{c}", F.array()), F.coalesce(f"d.{c}", F.array()))))
     newer = F.when(F.col("o").isNull(), True).when(F.col("d").isNull(), False).otherwise(newer)
+    at = lambda c: F.col(f"o.{c}") if c in old.columns else F.lit(None).cast("timestamp")
+    stamps = [F.coalesce(at("created_at"), F.lit(now)).alias("created_at"), F.when(F.col("d").isNotNull(), F.lit(now)).otherwise(at("updated_at")).alias("updated_at")] if now else []
     return j.select(
         *KEYS, (F.coalesce("o.occurrence_count", F.lit(0)) + F.coalesce("d.occurrence_count", F.lit(0))).alias("occurrence_count"),
         F.least("o.first_seen", "d.first_seen").alias("first_seen"), F.greatest("o.last_seen", "d.last_seen").alias("last_seen"), both("apps").alias("apps"), both("systems").alias("systems"),
         *(F.when(newer, F.col(f"d.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in _GUARDED),
-        F.coalesce("o.type", "d.type").alias("type"), F.coalesce("o.phase", "d.phase").alias("phase"), F.col("o").isNull().alias("inserted"),
+        F.coalesce("o.type", "d.type").alias("type"), F.coalesce("o.phase", "d.phase").alias("phase"), F.col("o").isNull().alias("inserted"), *stamps,
     )
 
 
@@ -135,12 +138,33 @@ def mixed_types(facts: DataFrame) -> DataFrame:
 
 
 def latest_events(facts: DataFrame, fingerprint: str, entity: str, n: int = 50) -> DataFrame:
-    """The drill-down: the latest ``n`` events of one incident, by a filter that reaches the scan and a top-n without a full sort."""
+    """The drill-down: the latest ``n`` events of one incident, a top-n without a full sort. Over facts at rest the filter reaches the
+    scan; facts that still have to be made free of repeats are read whole first."""
     order: list[Column] = [F.desc_nulls_last("dt"), F.desc("run_id"), F.desc("event_ord")]
     return facts.where((F.col("fingerprint") == fingerprint) & (F.col("entity") == entity)).orderBy(*order).limit(n)
 
 
 def without_repeats(facts: DataFrame) -> DataFrame:
-    """Facts as the append leaves them: the first delivery of every (run_id, event_ord), by arrival and then by content."""
-    w = Window.partitionBy("run_id", "event_ord").orderBy("inserted_at", *(c for c in facts.columns if c not in ("run_id", "event_ord", "inserted_at")))
-    return facts.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """The first delivery of every (run_id, event_ord), by arrival and then by content: one aggregation, whose map tasks combine
+    the copies that they hold. Only the columns that ``facts`` has are read and compared."""
+    keys = ["run_id", "event_ord"]
+    rest = [c for c in facts.columns if c not in (*keys, "inserted_at")]
+    first = F.min(F.struct("inserted_at", *(F.col(f"`{c}`") for c in rest))).alias("__first")
+    return facts.groupBy(*keys).agg(first).select(*(F.col(c) if c in keys else F.col(f"__first.`{c}`").alias(c) for c in facts.columns))
+
+
+def incident_id() -> Column:
+    """A stable identifier of an incident, from its key."""
+    return F.md5(F.concat_ws("|", F.col("fingerprint"), F.coalesce("entity", F.lit(""))))
+
+
+def dossiers(incidents: DataFrame) -> DataFrame:
+    """What an assessment reads of every incident, with the number of entities that share its fingerprint."""
+    return with_blast_radius(incidents).select(
+        incident_id().alias("id"), "category", "category_source", "type", "entity_count", "occurrence_count", "entity", "func", "first_seen", "last_seen", "sample_message"
+    )
+
+
+def recovery_facts(incidents: DataFrame, successes: DataFrame) -> DataFrame:
+    """What a recovery check reads of every incident: its times, its first application, and the latest success of its equipment."""
+    return incidents.join(successes, "entity", "left").select(incident_id().alias("id"), "entity", "last_seen", F.try_element_at("apps", F.lit(1)).alias("src_app"), "last_success")

@@ -113,6 +113,11 @@ def skipped(logs: DataFrame) -> DataFrame:
     return payloads.unionByName(elements)
 
 
+def samples(rows: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` skipped records, by run and place: what a report shows of them."""
+    return rows.orderBy("run_id", F.asc_nulls_first("event_ord"), "reason").limit(n)
+
+
 def append_new(existing: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows to append: one per key, of keys that ``existing`` has not (replays append nothing). Null keys are refused."""
     return rows.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")

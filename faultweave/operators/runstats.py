@@ -61,3 +61,9 @@ def subnet_stats(timers: DataFrame, run: str = "run", ip: str = "ip", ms: str =
 def run_span(events: DataFrame, run: str, at: str) -> DataFrame:
     """Events of a run and the milliseconds between its first and last."""
     return events.groupBy(run).agg(F.count(F.lit(1)).alias("event_count"), F.floor((F.unix_micros(F.max(at)) - F.unix_micros(F.min(at))) / 1000).alias("wall_clock_ms"))
+
+
+def last_values(timers: DataFrame, run: str = "run", label: str = "label", ms: str = "ms", at: str = "ts") -> DataFrame:
+    """The labels that ``label_prefix`` shows as they are: a scalar each, the last one by time (ties: the greatest) wins."""
+    alone = label_prefix(timers, run, label).where(F.col("shown") == F.col(label))
+    return alone.groupBy(run, label).agg(F.max_by(ms, F.struct(at, ms)).alias("last_ms"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,8 @@ from faultweave.functions import classify as taxonomy
 from faultweave.functions import text as tx
 from faultweave.functions.ids import canonical_run_id
 from faultweave.operators import incidents, materialize, runstats
-from faultweave.sources.tables import spread, table
+from faultweave.operators.pipeline import IncidentStore
+from faultweave.sources.tables import spread, stamp, table
 
 #: The pinned evaluation time and the cuts of the incremental windows.
 NOW = datetime(2026, 6, 30, tzinfo=UTC)
@@ -27,10 +29,23 @@ def _logs(spark: SparkSession, d: str) -> DataFrame:
     return spread(materialize.source_scan(table(spark, d, "app_run_logs"), BEFORE, AFTER), "run_id", "inserted_at")
 
 
+_stores: dict[tuple[str, str], IncidentStore] = {}
+
+
+def _store(spark: SparkSession, d: str) -> IncidentStore:
+    """error_events as a store of facts: appended once for each application, as the append leaves them (canonical run_ids, the first
+    delivery of every record), and again when the table's files change."""
+    path = f"{d}/error_events.parquet"
+    key = (spark.sparkContext.applicationId, stamp(spark, path))
+    if key not in _stores:
+        made = IncidentStore(spark)
+        made.append(incidents.message(table(spark, d, "error_events").withColumn("run_id", canonical_run_id("run_id"))))
+        _stores[key] = made
+    return _stores[key]
+
+
 def _facts(spark: SparkSession, d: str) -> DataFrame:
-    """error_events as the idempotent append leaves it: canonical run_ids, the first delivery of every record."""
-    e = table(spark, d, "error_events")
-    return incidents.without_repeats(e.withColumn("run_id", canonical_run_id("run_id")))
+    return _store(spark, d).facts()
 
 
 def source_scan_window(spark: SparkSession, d: str) -> DataFrame:
@@ -72,7 +87,7 @@ def dedupe_append(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, d: str) -> DataFrame:
-    return incidents.message(_facts(spark, d))
+    return _facts(spark, d)
 
 
 def normalize_text(spark: SparkSession, d: str) -> DataFrame:
@@ -116,7 +131,7 @@ def representative(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _incidents(spark: SparkSession, d: str, after: datetime = BEFORE, until: datetime = AFTER) -> DataFrame:
-    facts = incidents.window_of(_messages(spark, d).where("fingerprint IS NOT NULL"), after, until)
+    facts = _store(spark, d).facts(after, until).where("fingerprint IS NOT NULL")
     return incidents.enrich(incidents.rollup(facts), table(spark, d, "acquisition_history"))
 
 
@@ -269,6 +284,63 @@ def run_span(spark: SparkSession, d: str) -> DataFrame:
     return runstats.run_span(_timers(spark, d).withColumn("ts", F.col("ts").cast("timestamp")), "run", "ts")
 
 
+def materialize_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The job over the run logs, four runs and a replay of the third: what each appended and how many incidents it made."""
+    store, logs, outcomes = IncidentStore(spark), table(spark, d, "app_run_logs"), table(spark, d, "acquisition_history")
+    done = [store.run(logs, outcomes, until) for until in (*CUTS, CUTS[-1], AFTER)]
+    return spark.createDataFrame([(i + 1, r["appended"], r["inserted"], r["incidents"]) for i, r in enumerate(done)], "run int, appended long, inserted long, incidents long")
+
+
+def materialized_incidents(spark: SparkSession, d: str) -> DataFrame:
+    """The incidents that four runs of the job leave, with the times of the runs that made and last touched them."""
+    store, logs, outcomes = IncidentStore(spark), table(spark, d, "app_run_logs"), table(spark, d, "acquisition_history")
+    for until in (*CUTS, AFTER):
+        store.run(logs, outcomes, until)
+    return _flat(store.incidents()).select("fingerprint", "entity", "occurrence_count", "first_seen", "last_seen", "sample_run_id", "sample_message", "created_at", "updated_at")
+
+
+def dossiers(spark: SparkSession, d: str) -> DataFrame:
+    return _ntz(incidents.dossiers(_incidents(spark, d)))
+
+
+def recovery_facts(spark: SparkSession, d: str) -> DataFrame:
+    return _ntz(incidents.recovery_facts(_incidents(spark, d), incidents.last_success(table(spark, d, "acquisition_history"), table(spark, d, "app_run_logs"), NOW)))
+
+
+def incident_detail(spark: SparkSession, d: str) -> DataFrame:
+    """One incident by its identifier: that which the list shows first."""
+    i = _incidents(spark, d).withColumn("id", incidents.incident_id())
+    top = i.orderBy(F.desc("occurrence_count"), F.desc("last_seen"), "fingerprint", "entity").select("id").first()
+    return _flat(i.where(F.col("id") == (top.id if top else None)))
+
+
+def apps_contain(spark: SparkSession, d: str) -> DataFrame:
+    """Incidents that the acquisition app has a part in, and those that it has not."""
+    has = F.array_contains("apps", incidents.ORACLE_APP)
+    return _incidents(spark, d).groupBy(has.alias("has_app")).agg(F.count(F.lit(1)).alias("incidents"), F.sum("occurrence_count").alias("events"))
+
+
+def filtered_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Aggregates with filters of their own, per entity."""
+    f = _facts(spark, d)
+    f.createOrReplaceTempView(view := f"fw_{uuid.uuid4().hex}")
+    out = spark.sql(f"""
+        SELECT entity, count(*) FILTER (WHERE type = 'ERROR') AS errors, count(*) FILTER (WHERE type = 'WARN') AS warnings, count(DISTINCT fingerprint) FILTER (WHERE type = 'ERROR') AS error_kinds,
+               max(inserted_at) FILTER (WHERE dt IS NULL) AS last_untimed
+        FROM {view} GROUP BY entity""")
+    spark.catalog.dropTempView(view)
+    return _ntz(out)
+
+
+def skipped_samples(spark: SparkSession, d: str) -> DataFrame:
+    logs = table(spark, d, "app_run_logs").select("run_id", "app_name", "warn_error_logs", "inserted_at")
+    return materialize.samples(materialize.skipped(logs))
+
+
+def timer_scalars(spark: SparkSession, d: str) -> DataFrame:
+    return runstats.last_values(_timers(spark, d))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -276,5 +348,6 @@ QUERIES = {
         taxonomy_table, agg_incidents, representative, enriched_incidents, category_source, incremental_merge, rebuild_equals_incremental, merge_inserted, blast_radius, recovery_semi,
         incident_last_success, success_after_incident, foreign_audit, unlinked_anti, noop_update, state_guard, drilldown_topn, incident_list_topk, incident_rollup, mixed_type_guard, duplicate_key_guard,
         watermark_advance, run_stats_quantiles, duration_buckets, prefix_rollup, subnet_rollup, run_span,
+        materialize_runs, materialized_incidents, dossiers, recovery_facts, incident_detail, apps_contain, filtered_counts, skipped_samples, timer_scalars,
     )
 }

@@ -163,7 +163,50 @@ def _stats(by: str, source: str, least: int = 1) -> str:
 
 _TAXONOMY = ", ".join(f"({_quoted(c)}, {_quoted(t)}, {str(m).lower()}, {str(s).lower()}, {i})" for i, (c, t, m, s, _) in enumerate(TRANSPORT + ENGINE))
 
+# The job's runs: a record belongs to the run whose window its first delivery arrived in.
+_RUN_OF = f"CASE WHEN inserted_at <= {_at(8)} THEN 1 WHEN inserted_at <= {_at(15)} THEN 2 WHEN inserted_at <= {_at(22)} THEN 3 ELSE 5 END"
+_RUNS = f"""
+  WITH flat AS MATERIALIZED (SELECT * REPLACE (inserted_at AT TIME ZONE 'UTC' AS inserted_at, dt AT TIME ZONE 'UTC' AS dt) FROM ({_FLAT})),
+  first AS MATERIALIZED (
+    SELECT *, {_RUN_OF} AS run, coalesce(dt, inserted_at) AS ts FROM (
+      SELECT *, row_number() OVER (PARTITION BY run_id, event_ord ORDER BY inserted_at, {", ".join(c + " NULLS FIRST" for c in "src_app_name, type, func, tag, err_msg, note_message, sme, job_id, system_id, entity, fingerprint".split(", "))}) AS nth
+      FROM flat WHERE run_id IS NOT NULL) WHERE nth = 1),
+  made AS MATERIALIZED (SELECT fingerprint, entity, min(run) AS run, max(run) AS last_run FROM first GROUP BY ALL)"""
+
+
+def _run_time(run: str) -> str:
+    return f"CASE {run} WHEN 1 THEN TIMESTAMP '2026-06-08' WHEN 2 THEN TIMESTAMP '2026-06-15' WHEN 3 THEN TIMESTAMP '2026-06-22' ELSE TIMESTAMP '2100-01-01' END"
+
+
+_ID = "md5(fingerprint || '|' || coalesce(entity, ''))"
+
 SQL = {
+    "materialize_runs": f"""
+      {_RUNS} SELECT r.run::INT AS run, (SELECT count(*) FROM first f WHERE f.run = r.run) AS appended, (SELECT count(*) FROM made m WHERE m.run = r.run) AS inserted,
+        (SELECT count(*) FROM made m WHERE m.run <= r.run) AS incidents FROM range(1, 6) r(run)""",
+    "materialized_incidents": f"""
+      {_RUNS} SELECT a.fingerprint, a.entity, occurrence_count, first_seen AT TIME ZONE 'UTC' AS first_seen, last_seen AT TIME ZONE 'UTC' AS last_seen, r.run_id AS sample_run_id, r.event_text AS sample_message,
+        {_run_time("m.run")} AS created_at, {_run_time("m.last_run")} AS updated_at
+      FROM (SELECT fingerprint, entity, count(*) AS occurrence_count, min(ts) AS first_seen, max(ts) AS last_seen FROM first GROUP BY ALL) a
+      JOIN (SELECT *, row_number() OVER (PARTITION BY fingerprint, entity ORDER BY ts DESC, run_id DESC, event_ord DESC) AS place FROM first) r
+        ON r.place = 1 AND a.fingerprint = r.fingerprint AND a.entity = r.entity
+      JOIN made m ON m.fingerprint = a.fingerprint AND m.entity = a.entity""",
+    "dossiers": f"""
+      {_ALL} SELECT {_ID} AS id, category, category_source, type, count(*) OVER (PARTITION BY fingerprint) AS entity_count, occurrence_count, entity, func,
+        first_seen AT TIME ZONE 'UTC' AS first_seen, last_seen AT TIME ZONE 'UTC' AS last_seen, sample_message FROM i""",
+    "recovery_facts": f"""
+      {_ALL} SELECT {_ID} AS id, i.entity, i.last_seen AT TIME ZONE 'UTC' AS last_seen, nullif(split_part(apps, ',', 1), '') AS src_app, last_success AT TIME ZONE 'UTC' AS last_success FROM i LEFT JOIN ({_LAST}) s USING (entity)""",
+    "incident_detail": f"{_ALL} SELECT {_ID} AS id, {_plain(_INCIDENT)} FROM i ORDER BY occurrence_count DESC, i.last_seen DESC, fingerprint, entity LIMIT 1",
+    "apps_contain": f"{_ALL} SELECT contains(',' || apps || ',', ',data_acquisition,') AS has_app, count(*) AS incidents, sum(occurrence_count)::BIGINT AS events FROM i GROUP BY 1",
+    "filtered_counts": f"""
+      SELECT entity, sum((type IS NOT DISTINCT FROM 'ERROR')::INT)::BIGINT AS errors, sum((type IS NOT DISTINCT FROM 'WARN')::INT)::BIGINT AS warnings,
+        count(DISTINCT CASE WHEN type = 'ERROR' THEN fingerprint END) AS error_kinds, max(CASE WHEN dt IS NULL THEN inserted_at END) AT TIME ZONE 'UTC' AS last_untimed
+      FROM ({_FACTS}) GROUP BY entity""",
+    "skipped_samples": "SELECT * FROM (" + _SKIPPED.format(rid=canonical("run_id"), source="SELECT * FROM app_run_logs", elements=_elements("SELECT * FROM app_run_logs")) + ") ORDER BY run_id NULLS FIRST, event_ord NULLS FIRST, reason LIMIT 20",
+    "timer_scalars": f"""
+      WITH t AS ({_TIMERS}), k AS (SELECT run, split_part(label, '.', 1) AS prefix, count(DISTINCT label) AS k FROM t WHERE contains(label, '.') GROUP BY ALL)
+      SELECT run, label, ms AS last_ms FROM (SELECT *, row_number() OVER (PARTITION BY run, label ORDER BY ts DESC, ms DESC) AS place FROM t) l
+      WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM k WHERE k.run = l.run AND k.prefix = split_part(l.label, '.', 1) AND contains(l.label, '.') AND k >= 3)""",
     "source_scan_window": f"""
       SELECT run_id, app_name, length(warn_error_logs)::INT AS payload_chars, inserted_at AT TIME ZONE 'UTC' AS inserted_at FROM ({_SOURCE})
       WHERE inserted_at > {_at(8)} - INTERVAL 30 SECOND AND inserted_at <= {_at(15)}""",

@@ -48,6 +48,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stamp(spark: SparkSession, path: str) -> str:
+    """What tells whether a table has changed: its files' names, lengths and times."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return "|".join(sorted(f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(p)))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` over all cores before costly work on each row, if its scan alone would leave most of them idle.
 
