@@ -145,32 +145,25 @@ def visible_text(text: str) -> str:
     return "\n\n".join([head, *(p.text for p in parts)])
 
 
-# Fixed phrases of mail programs and offices in the corpus' languages.
+# How mail programs in the corpus' languages mark a quotation (fixed phrases).
 _ATTRIBUTION = re.compile(
     r"^(?:on\b.*\bwrote|le\b.*\ba écrit|el\b.*\bescribió|am\b.*\bschrieb\b.*|.*\bschrieb|.*\bwrote|.*\ba écrit|.*\bescribió)\s*:\s*$", re.I
 )
 _ORIGINAL = re.compile(r"^-{2,}\s*(?:original message|original-nachricht|ursprüngliche nachricht|message d'origine|message original|mensaje original|forwarded message)\s*-{2,}$", re.I)
-_GREETING = re.compile(r"^(?:hello|hi|hey|dear|good (?:morning|afternoon|evening)|hallo|guten (?:tag|morgen|abend)|liebe[rs]?|sehr geehrte[rs]?|moin|bonjour|bonsoir|salut|cher|chère|hola|buen(?:os|as) \w+|estimad[oa]s?|querid[oa]s?)\b[^\n]{0,60}[,!:]?$", re.I)
-_CLOSING = re.compile(r"^(?:(?:best|kind|warm) regards|regards|best|thanks|thank you|cheers|sincerely|yours \w+|(?:mit )?freundlichen? grüßen?|viele grüße|liebe grüße|cordialement|bien à vous|merci|salutations|saludos|un saludo|atentamente|gracias|sent from my [\w ]+)\s*[,.!]?$", re.I)
-_DISCLAIMER = re.compile(
-    r"confidential(?:ity)?\b|vertraulich|confidentiel|confidencial|\bmeant only for the people\b|intended (?:only|solely) for|reached you by mistake"
-    r"|nothing in this (?:letter|message|e-?mail) binds|before you print this|views are those of the|views expressed"
-    r"|nur für die (?:empfänger|personen)|ist nur für|irrtümlich|réservé à ses destinataires|en cas d'erreur|destinatarios?\b|por error\b",
-    re.I,
-)
-#: A text without any of these has no disclaimer.
-_DISCLAIMER_HINTS = ("confiden", "binds", "before you print", "views", "vertraulich", "meant only", "intended", "by mistake", "ist nur für", "nur für die", "irrtümlich", "réservé", "erreur", "destinatario", "por error")
 _RULE = re.compile(r"^([-_*=~#])\1{7,}$")
 
 
-def _is_disclaimer(block: str) -> bool:
-    return len(block) < 600 and bool(_DISCLAIMER.search(" ".join(block.split())))
+def _addressed(line: str, more: bool) -> bool:
+    """A salutation or a closing formula by its form: a line of at most four words that ends with a comma (a salutation also with an
+    exclamation mark, if more follows)."""
+    return line.endswith((",", "!") if more else ",") and len(line) < 60 and len(line.split()) <= 4 and not any(map(str.isdigit, line))
 
 
 def body_of(text: str) -> str:
-    """What the sender wrote: no headers, attachments, quoted mail, attribution, greeting, signature or disclaimer.
+    """What the sender wrote, paragraphs apart: no headers, attachments, quoted mail, attribution, salutation or signature.
 
-    Of alternatives the plain text counts, the HTML only where there is none or it is blank.
+    Of alternatives the plain text counts, the HTML only where there is none or it is blank. What many messages end with, such
+    as disclaimers, is known only from all of them: see ``textquality``.
     """
     head, body = split_message(text)
     parts = [p for p in _read(_fields(head), body, 0, False) if not p.attached]
@@ -195,7 +188,7 @@ def own_text(body: str) -> str:
         body = body.replace("\r\n", "\n").replace("\r", "\n")
     kept: list[str] = []
     lines = [_mended(x.rstrip()) for x in body.split("\n")]
-    i, n, quoting, original = 0, len(lines), False, 0
+    i, n, original = 0, len(lines), 0
     while i < n:
         line = lines[i]
         bare = line.strip()
@@ -216,33 +209,22 @@ def own_text(body: str) -> str:
             while i + 1 < n and lines[i + 1].strip():
                 i += 1
         elif bare.startswith(">"):
-            quoting = True
+            pass
         elif bare.endswith(":") and _ATTRIBUTION.match(bare) and i + 1 < n and any(x.lstrip().startswith(">") for x in lines[i + 1 : i + 4]):
             pass
         else:
             kept.append(bare)
         i += 1
-    lower = body.lower()
-    disclaimed = any(x in lower for x in _DISCLAIMER_HINTS)
     blocks: list[list[str]] = [[]]
     for line in kept:
         if line:
-            blocks[-1].append(line)
+            if not _RULE.match(line):
+                blocks[-1].append(line)
         elif blocks[-1]:
             blocks.append([])
-    out: list[str] = []
-    seen = False
-    for b in blocks:
-        if not b:
-            continue
-        if not seen and len(b) >= 1 and _GREETING.match(b[0]):
-            b = b[1:]
-        seen = True
-        while b and _RULE.match(b[0]):
-            b = b[1:]
-        if not b or len(b) == 1 and _CLOSING.match(b[0]):
-            continue
-        if disclaimed and _is_disclaimer("\n".join(b)):
-            continue
-        out.append("\n".join(b))
-    return "\n\n".join(out)
+    blocks = [b for b in blocks if b]
+    if blocks and _addressed(blocks[0][0], True) and (len(blocks) > 1 or len(blocks[0]) > 1 or _addressed(blocks[0][0], False)):
+        blocks[0] = blocks[0][1:]
+    if blocks and len(blocks[-1]) == 1 and _addressed(blocks[-1][0], False):
+        blocks.pop()
+    return "\n\n".join("\n".join(b) for b in blocks if b)

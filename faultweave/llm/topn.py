@@ -109,9 +109,10 @@ def _code(fields: list[str], kinds: dict[str, T.DataType]) -> list[_Word]:
     return out
 
 
-def _attach(rows: DataFrame, info: DataFrame, groups: list[str], total: int, number: int, hot: int) -> DataFrame:
-    """``rows`` with their group's ``info`` (which has ``size``, the group's rows): by broadcast for at most ``hot`` groups, the others by
-    shuffle. There are fewer than ``hot`` groups with more than 1/hot of ``total`` rows, so the broadcast has a fixed bound."""
+def attach(rows: DataFrame, info: DataFrame, groups: list[str], total: int, number: int, hot: int = HOT, how: str = "inner") -> DataFrame:
+    """``rows`` with their group's ``info`` (which has ``size``, the group's rows, and ``number`` rows in all): by broadcast for at most
+    ``hot`` groups, the others by shuffle. There are fewer than ``hot`` groups with more than 1/hot of ``total`` rows, so the
+    broadcast has a fixed bound, and no group that is shuffled holds more than that share. ``how``: inner or left."""
     extra = [c for c in info.columns if c not in groups]
 
     def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -120,11 +121,11 @@ def _attach(rows: DataFrame, info: DataFrame, groups: list[str], total: int, num
         return left.join(r, on, how).drop(*(f"__{g}" for g in groups))
 
     if number <= hot:
-        return joined(rows, F.broadcast(info), "inner")
+        return joined(rows, F.broadcast(info), how)
     is_hot = F.col("size") * hot > total
     marked = joined(rows, F.broadcast(info.where(is_hot)), "left")
     warm = marked.where(F.col("size").isNotNull())
-    cold = joined(marked.where(F.col("size").isNull()).drop(*extra), info.where(~is_hot).hint("merge"), "inner")  # grows with the groups: never broadcast
+    cold = joined(marked.where(F.col("size").isNull()).drop(*extra), info.where(~is_hot).hint("merge"), how)  # grows with the groups: never broadcast
     return warm.unionByName(cold)
 
 
@@ -168,7 +169,7 @@ def top_n(df: DataFrame, group: list[str], order: list[str], n: int, unique: boo
         info = info.withColumn("width", F.floor((F.col("hi") - F.col("lo")) / FAN) + 1).drop("hi", "need")
         x = F.coalesce(*(F.when(F.col("level") == i, w.of(F.col(w.field), F.col("prefix"))) for i, w in enumerate(words)), F.lit(0))
         bucket = F.floor((x - F.col("lo")) / F.col("width"))
-        counts = _attach(rows, info, gs, all_.total, all_.number, hot).withColumn("bucket", bucket).groupBy(*gs, "bucket").agg(
+        counts = attach(rows, info, gs, all_.total, all_.number, hot).withColumn("bucket", bucket).groupBy(*gs, "bucket").agg(
             F.count(F.lit(1)).alias("c"), *(F.first(c).alias(c) for c in ("need", "size", "level", "prefix", "lo", "width"))
         )
         above = F.sum("c").over(Window.partitionBy(*gs).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0))  # at most FAN + 1 rows a group
@@ -178,7 +179,7 @@ def top_n(df: DataFrame, group: list[str], order: list[str], n: int, unique: boo
             *(F.first(c).alias(c) for c in ("size", "level", "prefix", "lo", "width")), F.min(F.when(~whole, F.col("bucket"))).alias("cut"),
             F.min(F.when(~whole, F.col("need") - F.col("cum") + F.col("c"))).alias("left"), F.min("c").alias("c"),
         )
-        tagged = _attach(rows, s.save(cuts, f"cuts{round_}"), gs, all_.total, all_.number, hot).withColumn("bucket", bucket)
+        tagged = attach(rows, s.save(cuts, f"cuts{round_}"), gs, all_.total, all_.number, hot).withColumn("bucket", bucket)
         state = F.when(F.col("cut").isNull() | (F.col("bucket") > F.col("cut")) | ((F.col("bucket") == F.col("cut")) & (F.col("c") == F.col("left"))), "kept").when(F.col("bucket") == F.col("cut"), "open")
         s.save(tagged.withColumn("state", state).where(F.col("state").isNotNull()).select(*gs, *os_, F.col("left").alias("need"), "state"), f"out{round_}", "state")
         kept += [s.at(f"out{round_}/state=kept")] if s.exists(f"out{round_}/state=kept") else []

@@ -62,8 +62,11 @@ def test_own_text():
         "Hello Jo,\n\nFirst of mine.\nSecond line.\n\nOn Mon, 01 Jun 2026 14:24:38 +0000, Ann Lee wrote:\n> quoted\n> > deeper\n\nBetween.\n\n-----Original Message-----\nFrom: Bo\nSent: x\n\nold text\n\nold more\n\n\nAfter it.\n\n"
         "********************\nThis note is meant only for the people it was sent to.\n\n-- \nJo\nDesk | 5\n\nLe lundi, Bo a écrit :\n> vieux"
     )
-    assert mail.own_text(body) == "First of mine.\nSecond line.\n\nBetween.\n\nAfter it."
+    note = "This note is meant only for the people it was sent to."  # known as boilerplate only from other messages
+    assert mail.own_text(body) == "First of mine.\nSecond line.\n\nBetween.\n\nAfter it.\n\n" + note
     assert mail.own_text("Hola Ana,\n\n> todo\n") == ""
+    assert mail.own_text("Dear all!\nWe met.\n\nBest regards,") == "We met."
+    assert mail.own_text("Come soon!") == "Come soon!" and mail.own_text("We sold the 3 red lanterns, but\nkept one,") == "We sold the 3 red lanterns, but\nkept one,"
     assert mail.own_text("jardÃ­n extraÃ±o") == "jardín extraño"
 
 

@@ -6,12 +6,11 @@ from faultweave.llm.queries import p9_text_types
 from faultweave.sources.tables import table
 
 COMMON = frozenset("the a we our in on and but it they every some was is of to".split())
-NAMES = [n for n, _ in tq.STATS]
 PROSE = "We opened the window in our workshop and it was cold.\nThey closed every door but some lantern\nwas lost on the way to our village. It is late."
 
 
 def stats(text):
-    return dict(zip(NAMES, tq.statistics(text, COMMON)))
+    return tq.statistics(text, COMMON)
 
 
 def test_statistics():
@@ -22,34 +21,53 @@ def test_statistics():
     assert all(v == 0 for v in stats("").values()) and all(v == 0 for v in stats(" \n\t\n").values())
 
 
-def test_running_share():
-    assert stats(PROSE)["running_share"] == 1.0
-    assert stats("kettle\nred window x3\nold lantern\nsmall boat")["running_share"] == 0
-    assert stats("a,b,c\n1,2,n/a\nn/a,n/a,7")["running_share"] == 0
-    assert stats("lLZZfnUMFxisvotA7VV75bw1FNYiWU8st0kVDCYa9clG2qM6mRwEDZ\n" * 5)["running_share"] == 0
-    assert 0.3 < stats(PROSE + "\n\n" + "\n".join(["row 17|44|9"] * 25))["running_share"] < 0.5
+def test_shares_of_lines_and_paragraphs():
+    s = stats(PROSE)
+    assert (s["wordy_share"], s["lettered_share"], s["closed_share"], s["echo_share"], s["short_line_share"]) == (1, 1, 1, 0, 0)
+    s = stats("kettle\nred window x3\nold lantern\nsmall boat")
+    assert (s["wordy_share"], s["closed_share"], s["common_share"], s["short_line_share"]) == (0, 0, 0, 1)
+    s = stats("a,b,c\n1,2,n/a\nn/a,n/a,7")
+    assert s["row_share"] == 1 and s["wordy_share"] == s["lettered_share"] == 0
+    assert stats("lLZZfnUMFxisvotA7VV75bw1FNYiWU8st0kVDCYa9clG2qM6mRwEDZ\n" * 5)["odd_share"] == 1
+    s = stats("river fence " * 40 + "\n\n" + PROSE)
+    assert 0.7 < s["echo_share"] < 0.85 and s["wordy_share"] == 1
 
 
 def test_learning_finds_the_accuracies():
     """Votes drawn from known rates: the posteriors recover the types, and a useless function gets even rates."""
     r = np.random.default_rng(1)
-    n, k = 6000, len(tq.FUNCTIONS)
-    truth = r.choice(4, n, p=[0.7, 0.1, 0.1, 0.1])
+    names = list(tq.COMPONENTS)
+    functions = (*tq.FUNCTIONS, tq.FUNCTIONS[0])
+    n, k = 6000, len(functions)
+    truth = r.choice(5, n, p=[0.6, 0.1, 0.1, 0.1, 0.1])
     codes = np.zeros(n, np.int64)
-    for i, (_, _, _, high, low) in enumerate(tq.FUNCTIONS):
-        speaks_high = np.isin(truth, [tq.TYPES.index(t) for t in high])
-        vote = np.where(speaks_high, 2, 1)
-        wrong = r.random(n) < (0.5 if i == k - 1 else 0.1)
+    for i, (_, _, _, high, _) in enumerate(functions):
+        vote = np.where(np.isin(truth, [names.index(t) for t in high]), 2, 1)
+        wrong = r.random(n) < (0.5 if i == k - 1 else 0.08)
         vote = np.where(wrong, 3 - vote, vote)
         vote = np.where(r.random(n) < 0.1, 0, vote)
         codes += vote * 3**i
     u, where, c = np.unique(codes, return_inverse=True, return_counts=True)
-    post, rates, share = tq.learn(u, c)
-    assert (post[where].argmax(axis=1) == truth).mean() > 0.95
-    assert abs(share[0] - 0.7) < 0.03 and abs(rates[k - 1, 0, 1] - rates[k - 1, 0, 2]) < 0.08 < rates[0, 0, 2] - rates[0, 0, 1]
+    post, rates, share = tq.learn(u, c, functions)
+    assert (post[where].argmax(axis=1) == truth).mean() > 0.9
+    assert abs(share[0] - 0.6) < 0.05 and abs(rates[k - 1, 0, 1] - rates[k - 1, 0, 2]) < 0.08 < rates[0, 0, 2] - rates[0, 0, 1]
+    types = tq.of_types(post)
+    assert np.allclose(types.sum(axis=1), 1) and np.allclose(types[:, 3], post[:, 3] + post[:, 4])
     assert len(tq.learn(np.array([], np.int64), np.array([], np.int64))[0]) == 0
 
 
+def test_what_many_messages_end_with_is_no_body(spark):
+    """A notice that ends bodies behind different paragraphs is not their text; one message sent again, and a paragraph inside, are."""
+    note = "Please handle this\nwith great care."
+    docs = [(i, f"S: x\n\nBody number {i} of the day.\n\n{note}") for i in range(4)] + [(9, f"S: x\n\n{note}"), (10, f"S: x\n\n{note}\n\nThen mine.")] + [(20 + i, "S: x\n\nSame start.\n\nSame end.") for i in range(9)]
+    df = spark.createDataFrame([(i, t, 1) for i, t in docs], "size long, text string, h int")
+    got = {r["size"]: r.words for r in tq.text_statistics(df, "size", "text", COMMON).collect()}
+    assert got == {0: 5, 1: 5, 2: 5, 3: 5, 9: 0, 10: 8, **{20 + i: 4 for i in range(9)}}
+    assert {r["size"]: r.words for r in tq.text_statistics(df, "size", "text", COMMON, min_ends=50).collect()}[9] == 6
+    long = [(i, f"S: x\n\nBody {i}.\n\n" + "word " * 600) for i in range(5)]
+    assert min(r.words for r in tq.text_statistics(spark.createDataFrame(long, "i long, t string"), "i", "t", COMMON).collect()) > 600
+
+
 def test_types_of_edge_cases(spark):
     head = "Subject: x\n\n"
     docs = [(i, head + PROSE) for i in range(20)] + [(100, None), (101, ""), (102, head), (103, head + "> quoted only"), (104, head + "\n".join(["- red window"] * 30)), (104, head + "\n".join(["- red window"] * 30)), (105, head + (PROSE + "\n\n") * 3000)]
@@ -61,6 +79,34 @@ def test_types_of_edge_cases(spark):
     assert tq.text_types(df.limit(0), "doc_id", "text", COMMON).count() == 0
 
 
+def test_no_function_decides_alone(spark, capsys):
+    """Left out, each function changes few documents or none; none alone gives the result; together they hold on the hand labels."""
+    sf = "/root/testdata/sf0.1"
+    common = tq.common_words(table(spark, sf, "common_words"))
+    stats = tq.text_statistics(table(spark, sf, "documents"), "doc_id", "text", common).where("chars > 0").cache()
+    rows = stats.toPandas()
+
+    def found(functions):
+        codes = np.zeros(len(rows), np.int64)
+        for i, (stat, high, low, _, _) in enumerate(functions):
+            codes += np.where(rows[stat] >= high, 2, np.where(rows[stat] < low, 1, 0)) * 3**i
+        u, where, c = np.unique(codes, return_inverse=True, return_counts=True)
+        return tq.of_types(tq.learn(u, c, functions)[0])[where, 0] < 0.5, codes
+
+    whole, _ = found(tq.FUNCTIONS)
+    same = {r.doc_id: r.p_prose < 0.5 for r in tq.type_statistics(stats).collect()}
+    assert [same[i] for i in rows["doc_id"]] == whole.tolist()
+    left_out, alone = {}, {}
+    for i, f in enumerate(tq.FUNCTIONS):
+        left_out[f[0]] = int((found(tq.FUNCTIONS[:i] + tq.FUNCTIONS[i + 1 :])[0] != whole).sum())
+        votes = np.where(rows[f[0]] >= f[1], 2, np.where(rows[f[0]] < f[2], 1, 0))
+        alone[f[0]] = min(int((np.isin(votes, [v for v in range(3) if m >> v & 1]) != whole).sum()) for m in range(8))
+    with capsys.disabled():
+        print(f"\nof {len(rows)} documents, changed when left out: {left_out}; best single rule differs on: {alone}")
+    assert max(left_out.values()) < 0.02 * len(rows) and sum(x > 0 for x in left_out.values()) >= 4
+    assert min(alone.values()) >= 10
+
+
 def test_accuracy_on_hand_labels(spark):
     """The learning never sees the labels; at least 98 of 100 of them agree on prose or not."""
     sf = "/root/testdata/sf0.1"
