@@ -13,19 +13,26 @@ import heapq
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from faultweave.llm.mail import html_text, visible_text
 from faultweave.llm.tokens import small_batches
+from faultweave.sources.tables import Scratch
 
 #: Words of a tile at least; the seeds' length.
 MIN_TILE = 8
 #: Words of the items of one block at most (an item that is longer is a block of its own); 24 bytes of broadcast for each.
 BLOCK_WORDS = 1_000_000
+#: Blocks that one pass over the documents takes; each document is decoded once in a pass.
+PASS_BLOCKS = 8
+#: Pairs of a seed in the document and in an item that are held at once; where there are more, the items are taken in parts.
+PAIRS = 2_000_000
 
 _WORDS = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -90,8 +97,20 @@ class Block:
             return
         at = np.flatnonzero(self.sketch[(h >> np.uint64(42)).astype(np.int64)])
         lo, hi = np.searchsorted(self.seeds, h[at], "left"), np.searchsorted(self.seeds, h[at], "right")
-        n = hi - lo
-        if not n.any():
+        hit = hi > lo
+        at, lo, n = at[hit], lo[hit], (hi - lo)[hit]
+        if len(at):
+            yield from self._of_items(ids, at, lo, n, 0, len(self.items))
+
+    def _of_items(self, ids: np.ndarray, at: np.ndarray, lo: np.ndarray, n: np.ndarray, first: int, end: int) -> Iterator[tuple[object, list[tuple[int, int, int]]]]:
+        """The tiles of the items from ``first`` to before ``end``, whose seeds (equal ones are in the order of their items) start at
+        ``lo`` and are ``n`` for each place ``at`` of the document."""
+        if n.sum() > PAIRS and end - first > 1:
+            middle = (first + end) // 2
+            less = np.array([np.searchsorted(self.owner[i : i + k], middle) for i, k in zip(lo, n)], np.int64)
+            for part, start, many, a, b in ((less > 0, lo, less, first, middle), (n > less, lo + less, n - less, middle, end)):
+                if part.any():
+                    yield from self._of_items(ids, at[part], start[part], many[part], a, b)
             return
         doc = np.repeat(at, n)
         seed = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -160,33 +179,33 @@ def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_k
     give an empty result. Only the four named columns are read. The result has one row for each pair that shares a passage;
     documents without one give none.
     """
-    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{doc_key}`").alias("doc"), F.col(f"`{doc_text}`").alias("text")).where("text IS NOT NULL")
     kinds = [t.schema[f"{k}"].dataType for t, k in ((docs, doc_key), (items, item_key))]
     schema = f"doc {kinds[0].simpleString()}, item {kinds[1].simpleString()}, longest int, tiles int, covered int, item_words int"
-    out = None
-    for block in blocks_of(items, item_key, item_text, min_tile, block_words):
-        sent = spark.sparkContext.broadcast(block)
+    item_type, s, found = to_arrow_type(kinds[1]), Scratch(spark), spark.createDataFrame([], schema)
+    blocks = blocks_of(items, item_key, item_text, min_tile, block_words)
+    for number in count():
+        held = list(islice(blocks, PASS_BLOCKS))
+        if not held:
+            break
+        sent = spark.sparkContext.broadcast(held)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            b = sent.value
-            length = {k: len(x) for k, x in zip(b.keys, b.items)}
+            lengths = [{k: len(x) for k, x in zip(b.keys, b.items)} for b in sent.value]
             for batch in batches:
                 rows = []
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    for item, ts in b.tiles(b.numbers(words(visible_text(text)))):
-                        rows.append((doc, item, max(t[2] for t in ts), len(ts), sum(t[2] for t in ts), length[item]))
+                    ws = words(visible_text(text))
+                    for b, length in zip(sent.value, lengths):
+                        for item, ts in b.tiles(b.numbers(ws)):
+                            rows.append((doc, item, max(t[2] for t in ts), len(ts), sum(t[2] for t in ts), length[item]))
                 names = ["doc", "item", "longest", "tiles", "covered", "item_words"]
                 types = [batch.schema.field(0).type, item_type, *[pa.int32()] * 4]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)], names=names)
 
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        item_type = to_arrow_type(kinds[1])
-        found = source.mapInArrow(run, schema)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = spark.createDataFrame([], schema)
-    best = out.groupBy("doc", "item").agg(F.max(F.struct("longest", "covered", "tiles", "item_words")).alias("b")).select("doc", "item", "b.*")
+        with small_batches(spark):
+            found = found.unionByName(s.save(source.mapInArrow(run, schema), f"pairs{number}"))
+        sent.unpersist()
+    best = found.groupBy("doc", "item").agg(F.max(F.struct("longest", "covered", "tiles", "item_words")).alias("b")).select("doc", "item", "b.*")
     return best.withColumn("coverage", F.col("covered") / F.col("item_words"))

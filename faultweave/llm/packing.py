@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultweave.llm.tokens import VOCABULARY, count_tokens
+from faultweave.llm.tokens import VOCABULARY, count_tokens, small_batches
 from faultweave.sources.tables import Scratch
 
 CAPACITY = 4096
@@ -233,7 +233,8 @@ def containers(df: DataFrame, key: str, text: str, capacity: int = CAPACITY, voc
     s = Scratch(df.sparkSession)
     texts = df.select(F.struct(F.col(f"`{key}`").alias("key"), F.sha2(F.col(f"`{text}`"), 256).alias("sha")).alias("id"), F.col(f"`{text}`").alias("text"))
     counted = count_tokens(texts, "id", "text", vocabulary).groupBy("id.key", "id.sha").agg(F.max("tokens").alias("tokens"))
-    sized = s.save(counted, "sizes")
+    with small_batches(df.sparkSession):
+        sized = s.save(counted, "sizes")
     n = sized.count()
     groups = max(1, -(-n // group_items))
     full = F.when(F.col("tokens") > capacity, F.floor(F.col("tokens") / capacity)).otherwise(0).cast("int")

@@ -141,7 +141,6 @@ def common_words(words: DataFrame, column: str = "word") -> frozenset[str]:
 
 def _sums(docs: DataFrame, key: str, text: str, common: frozenset[str]) -> DataFrame:
     """One row per document: its ``key``, ``rest`` and ``last`` (sums), ``h`` and ``before`` (names)."""
-    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +168,8 @@ def text_statistics(docs: DataFrame, key: str, text: str, common: frozenset[str]
     Repeated rows give as many rows; only the two named columns are read; an empty table gives an empty result.
     """
     s = Scratch(docs.sparkSession)
-    sums = s.save(_sums(docs, key, text, common), "sums")
+    with small_batches(docs.sparkSession):
+        sums = s.save(_sums(docs, key, text, common), "sums")
     ends = s.save(boilerplate(sums, min_ends), "boilerplate")
     found = ends.agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("number")).first()
     known = attach(sums, ends, ["h"], sums.count(), found.number, how="left")  # documents without a name have no match

@@ -56,6 +56,19 @@ def test_tiles_against_brute_force():
                 used_b |= set(range(y, y + n))
 
 
+def test_many_pairs_are_taken_in_parts(monkeypatch):
+    """Items that share their seeds, and a document full of them: parts of the items give the same tiles."""
+    r = random.Random(3)
+    base = [r.choice("ab") for _ in range(40)]
+    items = [(i, base[r.randrange(10) :] + [r.choice("abc") for _ in range(20)]) for i in range(17)]
+    b = Block(items, 3)
+    doc = b.numbers(base * 3 + [r.choice("abcx") for _ in range(60)])
+    whole = {k: sorted(ts) for k, ts in b.tiles(doc)}
+    monkeypatch.setattr(leakage, "PAIRS", 50)
+    parts = [(k, sorted(ts)) for k, ts in b.tiles(doc)]
+    assert len(parts) == len(dict(parts)) == 17 and dict(parts) == whole
+
+
 def test_greedy_order():
     assert sorted(tile([(0, 0, 10), (8, 20, 9)], 3)) == [(0, 0, 10), (10, 22, 7)]
     assert tile([(0, 0, 5), (0, 9, 5)], 3) == [(0, 0, 5)]
@@ -66,7 +79,7 @@ def test_words():
     assert words("été") == ["été"]
 
 
-def test_leaks_with_reordering_and_edges(spark):
+def test_leaks_with_reordering_and_edges(spark, monkeypatch):
     passage = [f"w{i}" for i in range(40)]
     mixed = passage[20:40] + ["zz"] + passage[0:19]
     docs = [
@@ -76,7 +89,8 @@ def test_leaks_with_reordering_and_edges(spark):
     items = [(10, " ".join(passage)), (11, None), (12, ""), (13, "a b"), (10, " ".join(passage)), (14, " ".join(passage[:13]))]
     d = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc long, item string, longest int")
     e = spark.createDataFrame(items, "tiles long, covered string")
-    for block in (leakage.BLOCK_WORDS, 5):
+    for block, at_once in ((leakage.BLOCK_WORDS, 8), (5, 8), (5, 1)):
+        monkeypatch.setattr(leakage, "PASS_BLOCKS", at_once)
         got = {(r.doc, r.item): r for r in leakage.leaks(d, "doc", "item", e, "tiles", "covered", block_words=block).collect()}
         assert {k for k, r in got.items() if r.longest >= 13} == {(1, 10), (3, 10), (3, 14), (6, 10), (6, 14), (7, 10), (7, 14), (8, 10), (8, 14)}
         assert got[2, 10].longest == 12 and got[7, 10].coverage > 0.9 and got[7, 10].tiles == 2 and not any(i in (11, 12, 13) for _, i in got)

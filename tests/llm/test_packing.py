@@ -27,11 +27,15 @@ def test_pack(low, high):
     assert len(small) <= 1  # two half-empty containers would have been joined
 
 
-def test_search_beats_the_start():
-    """Two items in each of three containers by best fit; exchanges fill two of them and empty the third's rest."""
-    sizes = [6, 5, 4, 3, 3, 3, 2, 2, 2]
-    start, found = packing.best_fit(sizes, 10), packing.pack(sizes, 10)
-    assert len(set(found)) == 3 and sorted(fills(sizes, found).values()) == [10, 10, 10] and len(start) >= 3
+@pytest.mark.parametrize("low,high,least", [(700, 2100, 0.4), (820, 1700, 0.9), (1300, 1500, 0.2)])
+def test_search_beats_the_start(low, high, least):
+    """On sizes that best fit packs badly the search closes at least the share ``least`` of what separates it from the bound."""
+    r = random.Random(11)
+    sizes = [r.randint(low, high) for _ in range(1000)]
+    bound = -(-sum(sizes) // packing.CAPACITY)
+    start, found = len(packing.best_fit(sizes, packing.CAPACITY)), len(set(packing.pack(sizes)))
+    assert start - found >= least * (start - bound) > 0, (start, found, bound)
+    assert len(set(packing.pack(sizes, passes=0))) == start
 
 
 def test_swaps_raise_the_squared_fill():
