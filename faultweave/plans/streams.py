@@ -9,16 +9,22 @@ from faultweave.functions.ids import canonical_run_id
 from faultweave.operators import materialize
 from faultweave.plans.incidents import _flat, _ntz
 from faultweave.plans.preparation_sql import canonical
-from faultweave.sources.tables import PRODUCERS, SELF_APP, table
+from faultweave.sources.tables import PRODUCERS, SELF_APP, Scratch, table
 from faultweave.streaming import events
 
-#: Longer than the span of arrivals (inserted_at), so that no copy is too late for the state. Event times (dt) lie further apart;
+#: How long copies of a record may arrive after each other: their state goes after that. Event times (dt) lie further apart;
 #: windows in complete mode drop nothing behind the watermark, but sessions do and so go without.
-SPAN = "4000 days"
+SPAN = "60 days"
+#: Micro-batches that a table is streamed in.
+BATCHES = 4
 
 
 def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return events.file_stream(spark, f"{d}/{name}.parquet", table(spark, d, name).schema, 4)
+    """A table as a stream of files in the order of their arrival, some of them a micro-batch."""
+    rows = table(spark, d, name)
+    files = events.in_order(rows, "inserted_at", Scratch(spark).path)
+    number = max(8, -(-rows.count() // 2_000_000))
+    return events.file_stream(spark, files, rows.schema, -(-number // BATCHES))
 
 
 def stream_dedupe(spark: SparkSession, d: str) -> DataFrame:
@@ -31,6 +37,15 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     return _ntz(events.run_available(s, mode="complete"))
 
 
+def stream_hourly(spark: SparkSession, d: str) -> DataFrame:
+    """Events per hour and type that are at most 72 hours late and one early, with a watermark that drops the state of hours gone by."""
+    e = events.plausible(_stream(spark, d, "error_events").select("dt", "inserted_at", "type"))
+    counts = events.windowed_counts(e.select("dt", "type"), lateness="73 hours")
+    sink = events.LatestSink(spark, counts.schema, ["window_start", "type"])
+    events.run_available(counts, mode="update", each=sink)
+    return _ntz(sink.current())
+
+
 def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     s = events.sessions(_stream(spark, d, "error_events").select("dt", "entity"), lateness=None)
     return _ntz(events.run_available(s, mode="complete"))
@@ -40,7 +55,7 @@ def stream_flatten(spark: SparkSession, d: str) -> DataFrame:
     """Flattened facts, written by micro-batches, per app and type."""
     logs = _stream(spark, d, "app_run_logs").select("run_id", "app_name", "warn_error_logs", "inserted_at")
     kept = logs.where(F.col("app_name").isin(*PRODUCERS) & (F.col("app_name") != SELF_APP) & F.col("warn_error_logs").isNotNull())
-    out = events.Scratch(spark)
+    out = Scratch(spark)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         out.save(materialize.flatten(batch).select("run_id", "event_ord", "src_app_name", "type"), f"facts/batch={batch_id:09d}")
@@ -59,11 +74,14 @@ def stream_incidents(spark: SparkSession, d: str) -> DataFrame:
     return _flat(sink.current()).select("fingerprint", "entity", "occurrence_count", "first_seen", "last_seen", "apps", "systems")
 
 
-QUERIES = {f.__name__: f for f in (stream_dedupe, stream_windows, stream_sessions, stream_flatten, stream_incidents)}
+QUERIES = {f.__name__: f for f in (stream_dedupe, stream_windows, stream_hourly, stream_sessions, stream_flatten, stream_incidents)}
 
 SQL = {
     "stream_dedupe": f"SELECT DISTINCT {canonical('run_id')} AS run_id, event_ord FROM error_events",
     "stream_windows": "SELECT date_trunc('hour', dt AT TIME ZONE 'UTC') AS window_start, type, count(*) AS events FROM error_events WHERE dt IS NOT NULL GROUP BY ALL",
+    "stream_hourly": """
+      SELECT date_trunc('hour', dt AT TIME ZONE 'UTC') AS window_start, type, count(*) AS events FROM error_events
+      WHERE dt >= inserted_at - INTERVAL 72 HOUR AND dt <= inserted_at + INTERVAL 1 HOUR GROUP BY ALL""",
     "stream_sessions": """
       SELECT min(t) AS session_start, max(t) + INTERVAL 30 MINUTE AS session_end, entity, count(*) AS events FROM (
         SELECT *, sum(CASE WHEN t - before < INTERVAL 30 MINUTE THEN 0 ELSE 1 END) OVER (PARTITION BY entity ORDER BY t ROWS UNBOUNDED PRECEDING) AS nth FROM (

@@ -103,6 +103,10 @@ class Scratch:
     def drop(self, name: str) -> None:
         self._fs.delete(self._hp(self.at(name)), True)
 
+    def touch(self, name: str, ms: int) -> None:
+        """Give a file a modification time, in milliseconds since 1970."""
+        self._fs.setTimes(self._hp(self.at(name)), ms, -1)
+
     def save(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         """Write ``df`` as a table (this cuts the lineage and survives lost executors) and read it back."""
         w = df.write.mode("overwrite").option("compression", "zstd")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultweave.functions.ids import canonical_run_id
+from faultweave.functions.time import HOUR_US
 from faultweave.operators import incidents
 from faultweave.sources.tables import Scratch, Versions
 
@@ -49,6 +50,11 @@ def sessions(events: DataFrame, gap: str = "30 minutes", lateness: str | None =
     return s.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *by, "events")
 
 
+def _run(batch: DataFrame) -> None:
+    """Run a micro-batch whose rows are known already: its state has to be committed all the same."""
+    batch.write.format("noop").mode("overwrite").save()
+
+
 class IncidentSink:
     """``foreachBatch`` target that keeps the incidents as versioned snapshots.
 
@@ -63,9 +69,10 @@ class IncidentSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch_id <= self.state.value["batch"]:
-            return
+            return _run(batch)
         self.state.check()
-        delta = incidents.enrich(incidents.rollup(incidents.message(batch.where("fingerprint IS NOT NULL"))), self.outcomes)
+        rolled = self.files.save(incidents.rollup(incidents.message(batch.where("fingerprint IS NOT NULL"))), "delta")  # the micro-batch runs once
+        delta = incidents.enrich(rolled, self.outcomes)
         old = self.current()
         merged = incidents.merge(old, delta).drop("inserted") if old is not None else delta
         version, before = f"v={batch_id:09d}-{uuid.uuid4().hex[:8]}", self.state.value["version"]
@@ -79,25 +86,67 @@ class IncidentSink:
         return self.spark.read.parquet(self.files.at(v)) if v else None
 
 
+class LatestSink:
+    """``foreachBatch`` target for update and complete mode: a table in versions.
+
+    A micro-batch replaces the rows of its ``keys``, without keys all rows; a batch id at or below the last one is skipped, so a
+    replay changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, schema, keys: list[str] | None = None, path: str | None = None):
+        self.spark, self.keys, self.schema = spark, keys, schema
+        self.files = Scratch(spark, path)
+        self.state = Versions(self.files, "latest", {"batch": -1, "version": None})
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id <= self.state.value["batch"]:
+            return _run(batch)
+        self.state.check()
+        before, version = self.state.value["version"], f"v={batch_id:09d}-{uuid.uuid4().hex[:8]}"
+        if self.keys:
+            batch = self.files.save(batch, "delta")  # the micro-batch runs once
+            same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in self.keys]
+            batch = self.current().alias("o").join(batch.select(*self.keys).alias("n"), same, "left_anti").unionByName(batch)
+        self.files.save(batch, version)
+        self.state.publish({"batch": batch_id, "version": version})
+        if before:
+            self.files.drop(before)
+
+    def current(self) -> DataFrame:
+        v = self.state.value["version"]
+        return self.spark.read.schema(self.schema).parquet(self.files.at(v)) if v else self.spark.createDataFrame([], self.schema)
+
+
+def in_order(rows: DataFrame, at: str, path: str, least: int = 8, rows_per_file: int = 2_000_000) -> str:
+    """``rows`` as files whose times ascend with the column ``at``, as if they had been delivered in that order; a stream over the
+    folder gets them one after the other. Rows without ``at`` come first."""
+    files = Scratch(rows.sparkSession, path)
+    number = max(least, -(-rows.count() // rows_per_file))
+    files.save(rows.repartitionByRange(number, F.col(at).asc_nulls_first()), "arrived")
+    for i, name in enumerate(n for n in files.list("arrived") if n.startswith("part-")):
+        files.touch(f"arrived/{name}", 1_000_000_000_000 + i * 1000)
+    return files.at("arrived")
+
+
+def plausible(events: DataFrame, time: str = "dt", arrival: str = "inserted_at", late_hours: int = 72, early_hours: int = 1) -> DataFrame:
+    """The events whose time is at most ``late_hours`` before and ``early_hours`` after their arrival: what is later or further off is no
+    business of a stream. If arrivals ascend, a watermark of the sum of both hours drops none of these."""
+    age = F.unix_micros(arrival) - F.unix_micros(time)
+    return events.where((age <= late_hours * HOUR_US) & (age >= -early_hours * HOUR_US))
+
+
 def run_available(df: DataFrame, name: str = "out", mode: str = "append", each: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
-    """Run a stream over what is there now. Without ``each`` its rows go to a table, which is returned; complete and update go
-    through the last version written by each batch."""
+    """Run a stream over what is there now, in micro-batches. Without ``each`` its rows go to a table, which is returned: all of them in
+    append mode, the last version in complete mode."""
     spark = df.sparkSession
     s = Scratch(spark)
     writer = df.writeStream.option("checkpointLocation", s.at("checkpoint")).trigger(availableNow=True)
     if each is not None:
-        writer.foreachBatch(each).start().awaitTermination()
+        writer.outputMode(mode).foreachBatch(each).start().awaitTermination()
         return None
     if mode == "append":
         writer.format("parquet").outputMode("append").option("path", s.at(name)).start().awaitTermination()
         return spark.read.schema(df.schema).parquet(s.at(name))
-    last = {}
-
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        s.save(batch, f"{name}-{batch_id}")
-        if mode == "complete" and last:
-            s.drop(last["at"])
-        last["at"] = f"{name}-{batch_id}"
-
-    writer.outputMode(mode).foreachBatch(keep).start().awaitTermination()
-    return spark.read.schema(df.schema).parquet(s.at(last["at"])) if last else spark.createDataFrame([], df.schema)
+    sink = LatestSink(spark, df.schema)
+    writer.outputMode(mode).foreachBatch(sink).start().awaitTermination()
+    return sink.current()
