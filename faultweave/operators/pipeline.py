@@ -42,6 +42,11 @@ class IncidentStore:
         for folder in old:
             self.files.drop(folder)
 
+    def there(self) -> bool:
+        """Whether the folders that the state names are still there."""
+        v = self.state.value
+        return all(map(self.files.exists, [*v["loads"], *([v["snapshot"]] if v["snapshot"] else [])]))
+
     def cursor(self, source: str) -> datetime:
         return materialize.cursor(self.state.value["cursors"], source)
 

@@ -37,7 +37,7 @@ def _store(spark: SparkSession, d: str) -> IncidentStore:
     delivery of every record), and again when the table's files change."""
     path = f"{d}/error_events.parquet"
     key = (spark.sparkContext.applicationId, stamp(spark, path))
-    if key not in _stores:
+    if key not in _stores or not _stores[key].there():
         made = IncidentStore(spark)
         made.append(incidents.message(table(spark, d, "error_events").withColumn("run_id", canonical_run_id("run_id"))))
         _stores[key] = made
@@ -57,6 +57,14 @@ def flatten_events(spark: SparkSession, d: str) -> DataFrame:
     return _ntz(materialize.flatten(_logs(spark, d)).drop("raw_event"))
 
 
+def raw_event_keys(spark: SparkSession, d: str) -> DataFrame:
+    """The fields of the events as they are kept: how many have each, and the first and last of its texts."""
+    raw = materialize.flatten(_logs(spark, d)).select(F.try_parse_json("raw_event").alias("v"))
+    fields = raw.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+    text = F.when(F.schema_of_variant("value") == "STRING", F.try_variant_get("value", "$", "string"))
+    return fields.groupBy("key").agg(F.count(F.lit(1)).alias("events"), F.min(text).alias("first_text"), F.max(text).alias("last_text"))
+
+
 def event_text(spark: SparkSession, d: str) -> DataFrame:
     return materialize.flatten(_logs(spark, d)).groupBy("event_text").agg(F.count(F.lit(1)).alias("events"))
 
@@ -344,7 +352,7 @@ def timer_scalars(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        source_scan_window, flatten_events, event_text, fingerprint, entity_key, skipped_events, malformed_payloads, dedupe_append, normalize_text, classify_events, classify_layers, backfill_category,
+        source_scan_window, flatten_events, raw_event_keys, event_text, fingerprint, entity_key, skipped_events, malformed_payloads, dedupe_append, normalize_text, classify_events, classify_layers, backfill_category,
         taxonomy_table, agg_incidents, representative, enriched_incidents, category_source, incremental_merge, rebuild_equals_incremental, merge_inserted, blast_radius, recovery_semi,
         incident_last_success, success_after_incident, foreign_audit, unlinked_anti, noop_update, state_guard, drilldown_topn, incident_list_topk, incident_rollup, mixed_type_guard, duplicate_key_guard,
         watermark_advance, run_stats_quantiles, duration_buckets, prefix_rollup, subnet_rollup, run_span,

@@ -211,6 +211,9 @@ SQL = {
       SELECT run_id, app_name, length(warn_error_logs)::INT AS payload_chars, inserted_at AT TIME ZONE 'UTC' AS inserted_at FROM ({_SOURCE})
       WHERE inserted_at > {_at(8)} - INTERVAL 30 SECOND AND inserted_at <= {_at(15)}""",
     "flatten_events": _FLAT,
+    "raw_event_keys": f"""
+      SELECT key, count(*) AS events, min(CASE WHEN json_type(v) = 'VARCHAR' THEN v ->> '$' END) AS first_text, max(CASE WHEN json_type(v) = 'VARCHAR' THEN v ->> '$' END) AS last_text
+      FROM (SELECT k.key, k.value AS v FROM ({_elements(_SOURCE)}) e, json_each(e.ev) k WHERE json_type(e.ev) = 'OBJECT') GROUP BY key""",
     "event_text": f"SELECT event_text, count(*) AS events FROM ({_EVENTS}) GROUP BY 1",
     "fingerprint": f"SELECT fingerprint, src_app_name, type, count(*) AS events FROM ({_FLAT}) GROUP BY ALL",
     "entity_key": f"SELECT entity, system_id, count(*) AS events FROM ({_FLAT}) GROUP BY ALL",
