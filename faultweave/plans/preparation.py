@@ -110,22 +110,27 @@ def p5_table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_object").alias("objects"), F.count_if(F.col("parent_id") != "").alias("below_another_table"))
 
 
+def _named(flat: DataFrame) -> DataFrame:
+    """Paths of inlined fields as plain column names."""
+    return flat.withColumnsRenamed({c: c.replace(".", "__") for c in flat.columns if "." in c})
+
+
 def p5_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat table of events with its inlined fields."""
     rows, layout = _shredded(spark, sf_dir, {shred.ROOT})
-    return shred.flat_table(rows.where(F.col("is_object") & (F.col("row_id") == "")), ["run_id"], layout, shred.ROOT)
+    return _named(shred.flat_table(rows.where(F.col("is_object") & (F.col("row_id") == "")), ["run_id"], layout, shred.ROOT))
 
 
 def p5_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat table of attempts with its inlined fields; ``position`` is the attempt's place."""
     rows, layout = _shredded(spark, sf_dir, {"attempts"})
-    return shred.flat_table(rows.where("is_object"), ["run_id"], layout, "attempts")
+    return _named(shred.flat_table(rows.where("is_object"), ["run_id"], layout, "attempts"))
 
 
 def p5_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat table of steps with its inlined fields and the keys of its parents."""
     rows, layout = _shredded(spark, sf_dir, {"steps"})
-    return shred.flat_table(rows.where("is_object"), ["run_id"], layout, "steps").withColumn("attempt_ord", _place("attempts"))
+    return _named(shred.flat_table(rows.where("is_object"), ["run_id"], layout, "steps")).withColumn("attempt_ord", _place("attempts"))
 
 
 #: Batches in which the store gets the messages: weeks of arrival.

@@ -45,7 +45,9 @@ _WALK = f"""
     SELECT rid, unnest(l) AS j, (generate_subscripts(l, 1) - 1)::INT AS ord FROM (
       SELECT {canonical("run_id")} AS rid, json_extract(warn_error_logs, '$[*]') AS l FROM app_run_logs WHERE json_valid(warn_error_logs) AND json_type(warn_error_logs) = 'ARRAY')),
   raw AS (SELECT rid, ord, {_RAW} AS j FROM (SELECT {canonical("run_id")} AS rid, event_ord AS ord, raw_event::JSON AS j FROM error_events WHERE json_valid(raw_event))),
-  events AS (SELECT DISTINCT rid, ord, j::VARCHAR AS j FROM (SELECT rid, ord, j FROM logged UNION ALL SELECT rid, ord, j FROM raw) WHERE json_type(j) = 'OBJECT'),
+  every AS (SELECT rid, ord, j::VARCHAR AS j FROM (SELECT rid, ord, j FROM logged UNION ALL SELECT rid, ord, j FROM raw) WHERE json_type(j) = 'OBJECT'),"""
+_CASES = f"""{_WALK}
+  events AS (SELECT DISTINCT rid, ord, j FROM every),
   walk(rid, ord, att, step, state, fresh, j, obj) AS (
     SELECT rid, ord, -1, -1, 'e', false, j::JSON, true FROM events
     UNION ALL
@@ -60,8 +62,40 @@ _WALK = f"""
       FROM (SELECT w.rid, w.ord, w.att, w.step, w.state, w.obj, k.key, {_OPENED} AS v FROM walk w, json_each(w.j) k WHERE w.state <> 's') w
       WHERE json_type(v) IN ('OBJECT', 'ARRAY')))"""
 
+# p5: all tables. A row is an event, or an element of a field that has a table (those of objects in arrays, and of both kinds of parents); other
+# objects are walked with their path as prefix. open: an array whose elements are the rows.
+_TABLES = "'attempts', 'steps', 'files'"
+_ROWS = f"""{_WALK}
+  walk(e, rid, ord, tbl, id, parent, pos, prefix, state, j, obj) AS (
+    SELECT row_number() OVER (), rid, ord, 'event', '', NULL::VARCHAR, 0, '', 'row', j::JSON, true FROM every
+    UNION ALL
+    SELECT e, rid, ord, CASE WHEN named THEN key ELSE tbl END,
+           CASE WHEN state = 'open' THEN id || '[' || key || ']' WHEN named THEN path || CASE kind WHEN 'OBJECT' THEN '[0]' ELSE '' END ELSE id END,
+           CASE WHEN named THEN id ELSE parent END, CASE WHEN state = 'open' THEN key::INT WHEN named THEN 0 ELSE pos END,
+           CASE WHEN state = 'open' OR named THEN '' ELSE prefix || key || '.' END,
+           CASE WHEN named AND kind = 'ARRAY' THEN 'open' WHEN state = 'open' OR named THEN 'row' ELSE 'part' END, v, kind = 'OBJECT'
+    FROM (
+      SELECT w.*, json_type(v) AS kind, w.obj AND json_type(v) IN ('OBJECT', 'ARRAY') AND key IN ({_TABLES}) AS named, CASE w.id WHEN '' THEN '' ELSE w.id || '/' END || key AS path
+      FROM (SELECT w.* EXCLUDE (j), k.key, {_OPENED} AS v FROM walk w, json_each(w.j) k WHERE w.obj OR w.state = 'open') w
+    ) WHERE state = 'open' OR named OR kind = 'OBJECT'),
+  fields AS (
+    SELECT e, id, prefix || key AS field, v ->> '$' AS text FROM (SELECT w.e, w.id, w.prefix, w.state, k.key, {_OPENED} AS v FROM walk w, json_each(w.j) k WHERE w.obj)
+    WHERE json_type(v) <> 'OBJECT' AND NOT (json_type(v) = 'ARRAY' AND key IN ({_TABLES})))"""
+
+
+def _flat_table(name: str, fields: str, more: str = "") -> str:
+    columns = ", ".join(f"max(text) FILTER (field = '{f}') AS {f.replace('.', '__')}" for f in fields.split())
+    return f"""{_ROWS}
+      SELECT rid AS run_id, ord AS event_ord, r.id AS row_id, parent AS parent_id, pos AS position, {columns}, NULL::VARCHAR AS element_value{more}
+      FROM (SELECT * FROM walk WHERE state = 'row' AND obj AND tbl = '{name}') r LEFT JOIN fields f ON f.e = r.e AND f.id = r.id GROUP BY r.e, rid, ord, r.id, parent, pos"""
+
+
 SQL = {
-    "p5_found": f"{_WALK} SELECT DISTINCT rid AS run_id, ord AS event_ord, att AS attempt_ord, step AS step_ord FROM walk WHERE fresh AND state IN ('a', 's')",
+    "p5_table_sizes": f"{_ROWS} SELECT tbl AS table_name, count(*) AS rows, count(*) FILTER (obj) AS objects, count(*) FILTER (parent <> '') AS below_another_table FROM walk WHERE state = 'row' GROUP BY tbl",
+    "p5_events": _flat_table("event", "dt err_msg func note.job_id note.message note.skip_reason note.sme note.system_id note.transfer.kind note.txt tag type"),
+    "p5_attempts": _flat_table("attempts", "detail.phase host limits.kbps limits.tries no proto steps"),
+    "p5_steps": _flat_table("steps", "ms op rc", ", regexp_extract(r.id, 'attempts\\[(\\d+)\\]', 1)::INT AS attempt_ord"),
+    "p5_found": f"{_CASES} SELECT DISTINCT rid AS run_id, ord AS event_ord, att AS attempt_ord, step AS step_ord FROM walk WHERE fresh AND state IN ('a', 's')",
     "p1_found": f"""
       WITH records AS ({_RECORDS}), total AS (SELECT count(*) AS n FROM records)
       SELECT fingerprint, entity FROM records, total WHERE fingerprint IS NOT NULL
