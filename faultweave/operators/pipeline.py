@@ -79,12 +79,17 @@ class IncidentStore:
         was = self.state.value
         new = incidents.without_repeats(rows.where("run_id IS NOT NULL AND event_ord IS NOT NULL"))
         if was["loads"]:
-            new = new.join(self.facts().select(*KEYS), KEYS, "left_anti").select(*new.columns)
+            # written first, so that its size is known: the stored keys are filtered by those of a small window without being shuffled
+            new = self.files.save(new, pending := f"pending-{uuid.uuid4().hex}")
+            known = self.facts().select(*KEYS).join(new.select(*KEYS), KEYS, "left_semi")
+            new = new.join(known, KEYS, "left_anti").select(*new.columns)
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema)
         if was["schema"] not in (None, schema):
             raise ValueError(f"the store's facts are {was['schema']}, not {schema}")
         folder = self._load(new)
         appended = self.spark.read.schema(schema).parquet(self.files.at(folder)).count()  # from the files' footers
+        if was["loads"]:
+            self.files.drop(pending)
         loads = [*was["loads"], folder] if appended or not was["loads"] else was["loads"]
         self._publish(was | {"loads": loads, "schema": schema, "cursors": cursors or was["cursors"]}, [] if folder in loads else [folder])
         return appended

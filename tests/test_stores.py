@@ -85,6 +85,20 @@ def test_upsert_store_survives(spark):
     check(spark, lambda path: UpsertStore(spark, ["id"], ["at"], buckets=2, path=path), lambda s: s.upsert("1", b1), second, lambda s: sorted(map(tuple, s.merged().select("id", "body", COPIES).collect())))
 
 
+def test_vacuum_removes_only_what_is_lost(spark):
+    store = late.PeriodStore(spark)
+    store.ingest("1", spark.createDataFrame([("s", "r", "1", at(0), at(1)), ("s", "x", "1", at(0), at(400))], EVENTS))
+    store.ingest("2", spark.createDataFrame([("s", "r", "2", at(0), at(2))], EVENTS))
+    before = sorted(map(str, store.counts().collect()))
+    store.files.save(spark.range(1), "raw/attempt=lost")
+    store.files.save(spark.range(1), "state/v=lost")
+    again = late.PeriodStore(spark, store.files.path)
+    assert sorted(x for x in again.vacuum() if "lost" in x) == ["raw/attempt=lost", "state/v=lost"]
+    assert sorted(map(str, again.counts().collect())) == before and again.expired().count() == 1
+    again.ingest("3", spark.createDataFrame([("s", "r", "3", at(0), at(3))], EVENTS))
+    assert again.records().count() == 3
+
+
 def test_second_writer_is_refused(spark):
     a = late.PeriodStore(spark)
     a.ingest("1", spark.createDataFrame([("s", "r", "1", at(0), at(1))], EVENTS))
