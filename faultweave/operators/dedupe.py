@@ -16,7 +16,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultweave.sources.tables import Scratch, Versions
+from faultweave.sources.tables import Scratch, Versions, setting
 
 COPIES, RUN = "__copies", "__run"
 #: Rows of a bucket at most after a compaction, on average; beyond it the compaction makes more buckets.
@@ -80,14 +80,8 @@ class UpsertStore:
     def _append(self, df: DataFrame, folder: str, buckets: int) -> None:
         """Add a run: a sorted file for each bucket. The exchange before it has as many partitions as there are buckets, so that a task
         writes whole buckets."""
-        key = "spark.sql.shuffle.partitions"
-        usual = self.spark.conf.get(key)
-        with self._named(folder, _ddl(df), buckets) as name:
-            self.spark.conf.set(key, buckets)
-            try:
-                df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, *self.keys).sortBy(*self.keys).mode("append").saveAsTable(name)
-            finally:
-                self.spark.conf.set(key, usual)
+        with self._named(folder, _ddl(df), buckets) as name, setting(self.spark, "spark.sql.shuffle.partitions", buckets):
+            df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, *self.keys).sortBy(*self.keys).mode("append").saveAsTable(name)
 
     def _table(self) -> DataFrame:
         """The rows of the runs that belong to the store."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faultweave.functions import text as tx
 from faultweave.functions.ids import canonical_run_id
+from faultweave.operators.materialize import parsed
 
 KEYS = ["fingerprint", "entity"]
 #: The app whose runs the outcome history belongs to (a fixed value).
@@ -22,10 +23,9 @@ def window_of(facts: DataFrame, after: datetime, until: datetime) -> DataFrame:
 
 def message(facts: DataFrame) -> DataFrame:
     """``facts`` with ``ts`` (event time, else arrival) and ``msg``, the representative text."""
-    v = F.try_parse_json("raw_event")
-    inner = lambda p: tx.non_blank(tx.only_string(v, p))
+    inner = lambda p: tx.non_blank(tx.only_string(F.col("__raw"), p))
     msg = F.coalesce(tx.non_blank(F.col("err_msg")), tx.non_blank(F.col("note_message")), inner("$.note.txt"), inner("$.note.skip_reason"), F.lit(""))
-    return facts.withColumn("ts", F.coalesce("dt", "inserted_at")).withColumn("msg", msg)
+    return parsed(facts, "raw_event", "__raw").withColumns({"ts": F.coalesce("dt", "inserted_at"), "msg": msg}).drop("__raw")
 
 
 def rollup(facts: DataFrame) -> DataFrame:

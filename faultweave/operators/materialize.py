@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from faultweave.functions import classify as taxonomy
 from faultweave.functions import text as tx
 from faultweave.functions.ids import canonical_run_id
-from faultweave.sources.tables import PRODUCERS, SELF_APP
+from faultweave.sources.tables import PRODUCERS, SELF_APP, setting
 
 EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
 
@@ -51,15 +51,21 @@ def source_scan(logs: DataFrame, after: datetime, until: datetime, config: Confi
     return logs.where((at > F.lit(start)) & (at <= F.lit(until)) & mine & F.col("warn_error_logs").isNotNull()).select("run_id", "app_name", "warn_error_logs", "inserted_at")
 
 
+def parsed(df: DataFrame, text: str, value: str) -> DataFrame:
+    """``df`` with the VARIANT of a JSON text, null if it is none. Of equal names in an object the last counts."""
+    with setting(df.sparkSession, "spark.sql.variant.allowDuplicateKeys", "true"):  # looked up when the expression is analysed
+        return df.withColumn(value, F.try_parse_json(text))
+
+
 def _is_array(v: Column) -> Column:
     return F.schema_of_variant(v).startswith("ARRAY<")
 
 
 def exploded(logs: DataFrame) -> DataFrame:
     """One row per array element with its 0-based place ``event_ord`` (kept across malformed elements) and its VARIANT ``event``."""
-    parsed = logs.withColumn("__v", F.when(F.col("warn_error_logs").rlike(r"\A\s*\["), F.try_parse_json("warn_error_logs")))
-    elements = parsed.lateralJoin(logs.sparkSession.tvf.variant_explode(F.col("__v").outer()))
-    return elements.withColumnsRenamed({"pos": "event_ord", "value": "event"}).drop("__v", "key", "warn_error_logs")
+    array = logs.withColumn("__a", F.when(F.col("warn_error_logs").rlike(r"\A\s*\["), F.col("warn_error_logs")))
+    elements = parsed(array, "__a", "__v").lateralJoin(logs.sparkSession.tvf.variant_explode(F.col("__v").outer()))
+    return elements.withColumnsRenamed({"pos": "event_ord", "value": "event"}).drop("__a", "__v", "key", "warn_error_logs")
 
 
 def _is_object(v: Column) -> Column:
@@ -105,8 +111,7 @@ def event_time(text: Column) -> Column:
 
 def skipped(logs: DataFrame) -> DataFrame:
     """What flattening leaves out: payloads that are no arrays (place null) and elements that are no objects; null payloads are neither."""
-    v = F.try_parse_json("warn_error_logs")
-    whole = logs.where(F.col("warn_error_logs").isNotNull()).withColumn("__v", v)
+    whole = parsed(logs.where(F.col("warn_error_logs").isNotNull()), "warn_error_logs", "__v")
     not_array = whole.where(F.col("__v").isNull() | ~_is_array(F.col("__v"))).where(~F.coalesce(F.is_variant_null("__v"), F.lit(False)))
     payloads = not_array.select(canonical_run_id("run_id").alias("run_id"), F.lit(None).cast("int").alias("event_ord"), F.lit("payload is not an array").alias("reason"))
     elements = exploded(logs).where(~_is_object(F.col("event"))).select(canonical_run_id("run_id").alias("run_id"), "event_ord", F.lit("event is not an object").alias("reason"))

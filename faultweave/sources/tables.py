@@ -8,6 +8,8 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A session setting for what is planned or run in here; afterwards it is what it was."""
+    usual = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 def stamp(spark: SparkSession, path: str) -> str:
     """What tells whether a table has changed: its files' names, lengths and times."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

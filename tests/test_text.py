@@ -112,6 +112,13 @@ def test_cursors_are_monotone():
     assert materialize.cursor({}, "s") == materialize.EPOCH and materialize.cursor(cursors, "s") == late
 
 
+def test_of_equal_names_the_last_counts(spark):
+    df = logs(spark, '[{"err_msg":"first","err_msg":"last","note":{"sme":"a","sme":"b"}}]')
+    r = materialize.flatten(df).first()
+    assert (r.err_msg, r.sme, materialize.skipped(df).count()) == ("last", "b", 0)
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+
+
 def test_raw_event_has_no_nul(spark):
     cases = ['{"a":"x\\u0000y","k\\u0000":[{"b":"\\u0000\\u0000"}]}', '{"a":"\\\\u0000"}', '{"a":"\\\\\\u0000z"}']
     df = logs(spark, "[" + ",".join(cases) + "]")
