@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import Any
 
@@ -99,7 +100,7 @@ def parse(text: str) -> Any:
 
 def _unwrapped(value: Any) -> Any:
     """A field value; a string that holds an object or array, serialized once more, is that object or array."""
-    if type(value) is str and (head := value.lstrip(" \t\n\r")[:1]) and head in "{[":
+    if type(value) is str and (head := value[:1]) and (head in "{[" or head in " \t\n\r" and value.lstrip(" \t\n\r")[:1] in ("{", "[")):
         try:
             return parse(value)
         except NotJson:
@@ -129,7 +130,8 @@ def _edges(batches: Iterator[pa.RecordBatch], maps: set[str] = frozenset(), name
     """The distinct edges (parent, child, kind) of the schema graph in a partition. kind: value, object or array.
 
     Below ``maps`` only the fields in ``named`` that hold objects or arrays give an edge, from the map itself."""
-    seen: set[tuple[str, str, str]] = set()
+    seen: dict[str, dict[str, set[str]]] = {"value": defaultdict(set), "object": defaultdict(set), "array": defaultdict(set)}  # children by kind and parent
+    values = seen["value"]
     for batch in batches:
         for text, ord_, is_array in zip(*(batch.column(i).to_pylist() for i in range(3))):
             for _, event in events_of(text, ord_, is_array):
@@ -139,17 +141,21 @@ def _edges(batches: Iterator[pa.RecordBatch], maps: set[str] = frozenset(), name
                     if type(box) is list:
                         todo += [(name, in_map, x) for x in box if type(x) is dict or type(x) is list]
                         continue
+                    plain = values[name]
                     for k, v in box.items():
-                        v = _unwrapped(v) if type(v) is str else v
-                        kind = "object" if type(v) is dict else "array" if type(v) is list else "value"
-                        if not in_map or kind != "value" and k in named:
-                            seen.add((name, k, kind))
-                            if kind != "value":
-                                todo.append((k, k in maps, v))
-                        elif kind != "value":
+                        if type(v) is str:
+                            v = _unwrapped(v)
+                        if type(v) is not dict and type(v) is not list:
+                            if not in_map:
+                                plain.add(k)
+                        elif not in_map or k in named:
+                            seen["object" if type(v) is dict else "array"][name].add(k)
+                            todo.append((k, k in maps, v))
+                        else:
                             todo.append((name, True, v))
-    if seen:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*seen)], names=["parent", "child", "kind"])
+    edges = [(name, k, kind) for kind, by in seen.items() for name, ks in by.items() for k in ks]
+    if edges:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*edges)], names=["parent", "child", "kind"])
 
 
 class Layout:
@@ -233,7 +239,9 @@ def _escaped(name: str) -> str:
 
 
 def _text(value: Any) -> str | None:
-    return None if value is None else value if type(value) is str else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    if value is None or type(value) is str:
+        return value
+    return int.__repr__(value) if type(value) is int else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
 
 def _split(value: Any, path: str, names: set[str]) -> tuple[Any, list[tuple[str, str, Any]]]:
@@ -258,31 +266,35 @@ def _split(value: Any, path: str, names: set[str]) -> tuple[Any, list[tuple[str,
     return (top[0] if taken else value), taken
 
 
-def shred_event(event: dict, names: set[str], maps: set[str] = frozenset(), only: set[str] | None = None) -> Iterator[tuple[str, str, str | None, int, bool, dict]]:
+def shred_event(event: dict, names: set[str], maps: set[str] = frozenset(), only: set[str] | None = None, wanted: bool = True) -> Iterator[tuple[str, str, str | None, int, bool, dict]]:
     """Rows (table, id, parent id, position, is an object, fields) of one event; parents come before their children.
 
     A map is a field with the text of what no table below it has, in a table of its own the field ``value``; the ids of rows
-    below a map hold the whole path from the map on."""
+    below a map hold the whole path from the map on. Fields are empty in tables that are not in ``only``, and where none are ``wanted``."""
     todo: list = [(ROOT, "", None, 0, event, {})]
     while todo:
         table, id_, parent, pos, value, fields = todo.pop()
         is_object = type(value) is dict
+        kept = wanted and (only is None or table in only)
         children: list = []
 
         def add(name: str, at: str, v: Any) -> None:
             children.extend((name, f"{at}[{i}]", id_, i, x, {}) for i, x in enumerate(v if type(v) is list else (v,)))
 
+        def under(k: str) -> str:
+            return f"{id_}/{_escaped(k)}" if id_ else _escaped(k)
+
         def rest(v: Any, at: str) -> str | None:
             box = _unwrapped(v)
             if type(box) is not dict and type(box) is not list:
                 return _text(v)
-            kept, taken = _split(box, at, names)
+            left, taken = _split(box, at, names)
             for t in taken:
                 add(*t)
-            return _text(kept if taken else v)
+            return _text(left if taken else v) if kept else None
 
         whole = is_object and table not in maps
-        if not whole:
+        if not whole and (kept or type(value) is not str):
             fields["value"] = rest(value, id_) if is_object or type(value) is list else _text(value)
         inner = [("", value)] if whole else []
         while inner:
@@ -290,16 +302,14 @@ def shred_event(event: dict, names: set[str], maps: set[str] = frozenset(), only
             for k, v in box.items():
                 if type(v) is str:
                     v = _unwrapped(v)
-                at = f"{id_}/{_escaped(k)}" if id_ else _escaped(k)
-                if k in names and (type(v) is dict or type(v) is list):
-                    add(k, at, v)
-                elif k in maps:
-                    fields[prefix + k] = rest(box[k], at)
-                elif type(v) is dict:
+                holds = type(v) is dict or type(v) is list
+                if holds and k in names:
+                    add(k, under(k), v)
+                elif k in maps or type(v) is list:
+                    fields[prefix + k] = rest(box[k], under(k))
+                elif holds:
                     inner.append((f"{prefix}{k}.", v))
-                elif type(v) is list:
-                    fields[prefix + k] = rest(box[k], at)
-                else:
+                elif kept:
                     fields[prefix + k] = _text(v)
         if only is None or table in only:
             yield table, id_, parent, pos, is_object, fields
@@ -324,7 +334,7 @@ def shred(df: DataFrame, keys: list[str], ord_: Column, text: Column, is_array:
                 where, out = [], []
                 for i in range(start, min(start + 1000, batch.num_rows)):
                     for o, event in events_of(cols[-1][i], cols[-3][i], cols[-2][i]):
-                        for row in shred_event(event, names, maps, only):
+                        for row in shred_event(event, names, maps, only, fields):
                             where.append(i)
                             out.append((o, *row))
                 at = pa.array(where, pa.int32())
