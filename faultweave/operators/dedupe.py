@@ -13,13 +13,13 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faultweave.sources.tables import Scratch, Versions, setting
 
 COPIES, RUN = "__copies", "__run"
-#: Rows of a bucket at most after a compaction, on average; beyond it the compaction makes more buckets.
+#: Rows of a bucket at most on average, copies in different runs included; beyond it a compaction makes more buckets.
 BUCKET_ROWS = 4_000_000
 _ROW = "__row"
 
@@ -57,8 +57,8 @@ class UpsertStore:
     def __init__(self, spark: SparkSession, keys: list[str], order: list[str], buckets: int | None = None, path: str | None = None, bucket_rows: int = BUCKET_ROWS):
         self.spark, self.keys, self.order, self.bucket_rows = spark, list(keys), list(order), bucket_rows
         self.files = Scratch(spark, path)
-        #: batches: ids; folder: where the runs are; runs: their names; buckets: how many; schema: of the rows; old: folders that the version before this one replaced
-        self.state = Versions(self.files, "messages", {"batches": [], "folder": self._new_folder(), "runs": [], "buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "schema": None, "old": []})
+        #: batches: ids; folder: where the runs are; runs: the rows of each; buckets: how many; schema: of the rows; old: folders that the version before this one replaced
+        self.state = Versions(self.files, "messages", {"batches": [], "folder": self._new_folder(), "runs": {}, "buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "schema": None, "old": []})
 
     @staticmethod
     def _new_folder() -> str:
@@ -77,17 +77,20 @@ class UpsertStore:
         finally:
             self.spark.sql(f"DROP TABLE {name}")
 
-    def _append(self, df: DataFrame, folder: str, buckets: int) -> None:
+    def _append(self, df: DataFrame, folder: str, buckets: int) -> int:
         """Add a run: a sorted file for each bucket. The exchange before it has as many partitions as there are buckets, so that a task
-        writes whole buckets."""
+        writes whole buckets. Returns the rows."""
+        rows = Observation()
+        df = df.observe(rows, F.count(F.lit(1)).alias("n"))
         with self._named(folder, _ddl(df), buckets) as name, setting(self.spark, "spark.sql.shuffle.partitions", buckets):
             df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, *self.keys).sortBy(*self.keys).mode("append").saveAsTable(name)
+        return rows.get["n"]
 
     def _table(self) -> DataFrame:
         """The rows of the runs that belong to the store."""
         v = self.state.value
         with self._named(v["folder"], v["schema"], v["buckets"]) as name:
-            return self.spark.table(name).where(F.col(RUN).isin(v["runs"]))
+            return self.spark.table(name).where(F.col(RUN).isin(list(v["runs"])))
 
     def upsert(self, batch_id: str, df: DataFrame) -> bool:
         """Add a batch as one sorted run per bucket. False: the store already holds this batch."""
@@ -100,8 +103,8 @@ class UpsertStore:
         schema = _ddl(rows)
         if was["schema"] not in (None, schema):
             raise ValueError(f"the store's columns are {was['schema']}, not {schema}")
-        self._append(rows, was["folder"], was["buckets"])
-        self._publish(was | {"batches": [*was["batches"], batch_id], "runs": [*was["runs"], run], "schema": schema}, [])
+        n = self._append(rows, was["folder"], was["buckets"])
+        self._publish(was | {"batches": [*was["batches"], batch_id], "runs": was["runs"] | {run: n}, "schema": schema}, [])
         return True
 
     def _publish(self, value: dict, replaced: list[str]) -> None:
@@ -122,9 +125,9 @@ class UpsertStore:
         self.state.check()
         was, run, folder = self.state.value, uuid.uuid4().hex, self._new_folder()
         rows, buckets = self.merged().withColumn(RUN, F.lit(run)), was["buckets"]
-        if (n := self._table().count()) > buckets * self.bucket_rows:  # from the files' footers
+        if (n := sum(was["runs"].values())) > buckets * self.bucket_rows:
             buckets = -(-n // self.bucket_rows)
             rows = rows.repartition(buckets, *(F.col(f"`{k}`") for k in self.keys))
-        self._append(rows, folder, buckets)
-        self._publish(was | {"folder": folder, "runs": [run], "buckets": buckets}, [was["folder"]])
+        n = self._append(rows, folder, buckets)
+        self._publish(was | {"folder": folder, "runs": {run: n}, "buckets": buckets}, [was["folder"]])
         return self._table().drop(RUN)
