@@ -68,7 +68,7 @@ _GUARDED = "sample_run_id", "sample_message", "category", "category_source", "er
 def merge(old: DataFrame, delta: DataFrame, now: datetime | None = None) -> DataFrame:
     """The next version of the incidents: counts add up, times widen, sets unite, and the sample columns change together if the delta's
     representative is later. ``inserted`` says that a key is new. With ``now`` there are ``created_at`` and ``updated_at``, which changes
-    for the keys that the delta has and stays for the others."""
+    for the keys that the delta has and stays for the others. Further columns of ``old``, such as states, stay as they are."""
     o, d = old.select(F.struct("*").alias("o"), *KEYS), delta.select(F.struct("*").alias("d"), *KEYS)
     j = o.join(d, KEYS, "full_outer")
     newer = F.coalesce(F.struct("d.last_seen", "d.sample_run_id") > F.struct("o.last_seen", "o.sample_run_id"), F.col("o").isNull())
@@ -76,11 +76,12 @@ def merge(old: DataFrame, delta: DataFrame, now: datetime | None = None) -> Data
     newer = F.when(F.col("o").isNull(), True).when(F.col("d").isNull(), False).otherwise(newer)
     at = lambda c: F.col(f"o.{c}") if c in old.columns else F.lit(None).cast("timestamp")
     stamps = [F.coalesce(at("created_at"), F.lit(now)).alias("created_at"), F.when(F.col("d").isNotNull(), F.lit(now)).otherwise(at("updated_at")).alias("updated_at")] if now else []
+    more = [F.col(f"o.{c}").alias(c) for c in old.columns if c not in {*delta.columns, "inserted", "created_at", "updated_at"}]
     return j.select(
         *KEYS, (F.coalesce("o.occurrence_count", F.lit(0)) + F.coalesce("d.occurrence_count", F.lit(0))).alias("occurrence_count"),
         F.least("o.first_seen", "d.first_seen").alias("first_seen"), F.greatest("o.last_seen", "d.last_seen").alias("last_seen"), both("apps").alias("apps"), both("systems").alias("systems"),
         *(F.when(newer, F.col(f"d.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in _GUARDED),
-        F.coalesce("o.type", "d.type").alias("type"), F.coalesce("o.phase", "d.phase").alias("phase"), F.col("o").isNull().alias("inserted"), *stamps,
+        F.coalesce("o.type", "d.type").alias("type"), F.coalesce("o.phase", "d.phase").alias("phase"), F.col("o").isNull().alias("inserted"), *stamps, *more,
     )
 
 

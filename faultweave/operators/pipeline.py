@@ -64,7 +64,7 @@ class IncidentStore:
 
     def incidents(self) -> DataFrame | None:
         v = self.state.value["snapshot"]
-        return self.spark.read.parquet(self.files.at(v)) if v else None
+        return self.spark.read.parquet(self.files.at(v)).drop("outcome") if v else None
 
     def _load(self, rows: DataFrame) -> str:
         folder = f"facts/load={uuid.uuid4().hex}"
@@ -119,6 +119,26 @@ class IncidentStore:
         self._publish(was | {"snapshot": folder, "cursors": materialize.moved(was["cursors"], FACTS, until)}, [was["snapshot"]] if was["snapshot"] else [])
         return {"inserted": counted.inserted, "incidents": counted.incidents}
 
+    def update(self, updates: DataFrame, expected: list[str], columns: list[str], now: datetime) -> dict[str, int]:
+        """Write prepared ``columns`` (states, say) of some incidents. ``updates`` has the key, the columns, and ``prev_*`` of the ``expected``
+        ones: a row is written where the incident has not moved on since (null-safe) and where anything differs; only then does
+        ``updated_at`` change. Returns how many were updated, were skipped for having moved on, and were the same already."""
+        self.state.check()
+        was, current = self.state.value, self.incidents()
+        if current is None:
+            raise ValueError("the store has no incidents yet")
+        kinds = {f.name: f.dataType for f in updates.schema}
+        current = current.withColumns({c: F.lit(None).cast(kinds[c]) for c in columns if c not in current.columns})
+        changed = incidents.changed_only(current, updates, incidents.KEYS, columns)
+        done = incidents.guarded_update(current, changed, incidents.KEYS, expected, columns)
+        stamped = done.withColumn("updated_at", F.when(F.col("outcome") == "updated", F.lit(now)).otherwise(F.col("updated_at")))
+        folder = f"incidents/v={self.state.number + 1:09d}-{uuid.uuid4().hex[:8]}"
+        counted = {r.outcome: r["count"] for r in self.files.save(stamped, folder).groupBy("outcome").count().collect()}
+        asked = updates.join(current, incidents.KEYS, "left_semi").count()
+        self._publish(was | {"snapshot": folder}, [was["snapshot"]])
+        result = {o: counted.get(o, 0) for o in ("updated", "skipped")}
+        return result | {"same": asked - sum(result.values())}
+
     def run(self, logs: DataFrame, outcomes: DataFrame, until: datetime, log: RunLog | None = None) -> dict[str, int]:
         """Both steps, timed in the run log."""
         log = log or RunLog(self.spark)

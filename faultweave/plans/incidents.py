@@ -307,6 +307,19 @@ def materialized_incidents(spark: SparkSession, d: str) -> DataFrame:
     return _flat(store.incidents()).select("fingerprint", "entity", "occurrence_count", "first_seen", "last_seen", "sample_run_id", "sample_message", "created_at", "updated_at")
 
 
+def state_writeback(spark: SparkSession, d: str) -> DataFrame:
+    """Marks prepared after the third run of the job and written after the fourth, twice: where an incident has moved on since, and where
+    the mark is there already, nothing is written."""
+    store, logs, outcomes = IncidentStore(spark), table(spark, d, "app_run_logs"), table(spark, d, "acquisition_history")
+    for until in CUTS:
+        store.run(logs, outcomes, until)
+    marks = store.files.save(store.incidents().select("fingerprint", "entity", F.col("last_seen").alias("prev_last_seen"), F.lit("seen").alias("mark")), "marks")
+    store.run(logs, outcomes, AFTER)
+    done = [store.update(marks, ["last_seen"], ["mark"], AFTER) for _ in range(2)]
+    marked = store.incidents().where("mark = 'seen'").count()
+    return spark.createDataFrame([(i + 1, r["updated"], r["skipped"], r["same"], marked) for i, r in enumerate(done)], "attempt int, updated long, skipped long, same long, marked long")
+
+
 def dossiers(spark: SparkSession, d: str) -> DataFrame:
     return _ntz(incidents.dossiers(_incidents(spark, d)))
 
@@ -356,6 +369,6 @@ QUERIES = {
         taxonomy_table, agg_incidents, representative, enriched_incidents, category_source, incremental_merge, rebuild_equals_incremental, merge_inserted, blast_radius, recovery_semi,
         incident_last_success, success_after_incident, foreign_audit, unlinked_anti, noop_update, state_guard, drilldown_topn, incident_list_topk, incident_rollup, mixed_type_guard, duplicate_key_guard,
         watermark_advance, run_stats_quantiles, duration_buckets, prefix_rollup, subnet_rollup, run_span,
-        materialize_runs, materialized_incidents, dossiers, recovery_facts, incident_detail, apps_contain, filtered_counts, skipped_samples, timer_scalars,
+        materialize_runs, materialized_incidents, state_writeback, dossiers, recovery_facts, incident_detail, apps_contain, filtered_counts, skipped_samples, timer_scalars,
     )
 }

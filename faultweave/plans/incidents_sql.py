@@ -1,4 +1,8 @@
-"""The same results in SQL, written independently of the plans (DuckDB dialect)."""
+"""The same results in SQL, written independently of the plans (DuckDB dialect).
+
+Only fixed values are shared with the code: the classification patterns, the scrubs and line patterns, and the producers. What they
+have to give is pinned in ``tests/test_expectations.py``.
+"""
 
 from __future__ import annotations
 
@@ -191,6 +195,10 @@ SQL = {
       JOIN (SELECT *, row_number() OVER (PARTITION BY fingerprint, entity ORDER BY ts DESC, run_id DESC, event_ord DESC) AS place FROM first) r
         ON r.place = 1 AND a.fingerprint = r.fingerprint AND a.entity = r.entity
       JOIN made m ON m.fingerprint = a.fingerprint AND m.entity = a.entity""",
+    "state_writeback": f"""
+      {_RUNS}, seen AS (SELECT fingerprint, entity, max(ts) FILTER (run <= 3) AS before, max(ts) AS now FROM first GROUP BY ALL HAVING count(*) FILTER (run <= 3) > 0),
+      n AS (SELECT count(*) FILTER (before = now) AS hit, count(*) FILTER (before <> now) AS gone FROM seen)
+      SELECT 1 AS attempt, hit AS updated, gone AS skipped, 0::BIGINT AS same, hit AS marked FROM n UNION ALL SELECT 2, 0::BIGINT, gone, hit, hit FROM n""",
     "dossiers": f"""
       {_ALL} SELECT {_ID} AS id, category, category_source, type, count(*) OVER (PARTITION BY fingerprint) AS entity_count, occurrence_count, entity, func,
         first_seen AT TIME ZONE 'UTC' AS first_seen, last_seen AT TIME ZONE 'UTC' AS last_seen, sample_message FROM i""",

@@ -63,6 +63,20 @@ def test_runs_windows_and_replays(spark):
     assert {k: v[:3] for k, v in shown(whole.incidents()).items()} == {k: v[:3] for k, v in before.items()}
 
 
+def test_states_are_written_back_and_kept(spark):
+    logs, outcomes = tables(spark)
+    store, one, two, now = IncidentStore(spark), T0 + timedelta(hours=1), T0 + timedelta(hours=3), T0 + timedelta(hours=9)
+    store.run(logs, outcomes, one)
+    states = store.files.save(store.incidents().select("fingerprint", "entity", F.col("last_seen").alias("prev_last_seen"), F.lit("open").alias("state"), F.lit(None).cast("timestamp").alias("resolved_at")), "s")
+    store.run(logs, outcomes, two)
+    assert store.update(states, ["last_seen"], ["state", "resolved_at"], now) == {"updated": 1, "skipped": 1, "same": 0}
+    assert store.update(states, ["last_seen"], ["state", "resolved_at"], now + timedelta(days=1)) == {"updated": 0, "skipped": 1, "same": 1}
+    store.run(logs, outcomes, two + timedelta(hours=1))
+    got = {r.sample_message: (r.state, r.updated_at) for r in IncidentStore(spark, store.files.path).incidents().collect()}
+    at = lambda t: t.replace(tzinfo=None)
+    assert got == {"net down": ("open", at(now)), "disk 2 full": (None, at(two)), "disk 3 full": (None, at(two))}
+
+
 def test_second_writer_is_refused(spark):
     logs, outcomes = tables(spark)
     a = IncidentStore(spark)
