@@ -46,6 +46,12 @@ def stream_hourly(spark: SparkSession, d: str) -> DataFrame:
     return _ntz(sink.current())
 
 
+def stream_quiet(spark: SparkSession, d: str) -> DataFrame:
+    """Incidents that fell silent for more than a week, by timers."""
+    s = events.quiet_spells(_stream(spark, d, "error_events").select("fingerprint", "entity", "inserted_at").where("fingerprint IS NOT NULL"), ["fingerprint", "entity"])
+    return _ntz(events.run_available(s))
+
+
 def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
     s = events.sessions(_stream(spark, d, "error_events").select("dt", "entity"), lateness=None)
     return _ntz(events.run_available(s, mode="complete"))
@@ -74,7 +80,7 @@ def stream_incidents(spark: SparkSession, d: str) -> DataFrame:
     return _flat(sink.current()).select("fingerprint", "entity", "occurrence_count", "first_seen", "last_seen", "apps", "systems")
 
 
-QUERIES = {f.__name__: f for f in (stream_dedupe, stream_windows, stream_hourly, stream_sessions, stream_flatten, stream_incidents)}
+QUERIES = {f.__name__: f for f in (stream_dedupe, stream_windows, stream_hourly, stream_quiet, stream_sessions, stream_flatten, stream_incidents)}
 
 SQL = {
     "stream_dedupe": f"SELECT DISTINCT {canonical('run_id')} AS run_id, event_ord FROM error_events",
@@ -82,6 +88,11 @@ SQL = {
     "stream_hourly": """
       SELECT date_trunc('hour', dt AT TIME ZONE 'UTC') AS window_start, type, count(*) AS events FROM error_events
       WHERE dt >= inserted_at - INTERVAL 72 HOUR AND dt <= inserted_at + INTERVAL 1 HOUR GROUP BY ALL""",
+    "stream_quiet": """
+      SELECT fingerprint, entity, t AS last_seen, t + INTERVAL 7 DAY AS quiet_at FROM (
+        SELECT *, lead(t) OVER (PARTITION BY fingerprint, entity ORDER BY t) AS following, max(t) OVER () AS newest
+        FROM (SELECT fingerprint, entity, inserted_at AT TIME ZONE 'UTC' AS t FROM error_events WHERE fingerprint IS NOT NULL AND inserted_at IS NOT NULL))
+      WHERE coalesce(following, newest - INTERVAL 1 HOUR) > t + INTERVAL 7 DAY""",
     "stream_sessions": """
       SELECT min(t) AS session_start, max(t) + INTERVAL 30 MINUTE AS session_end, entity, count(*) AS events FROM (
         SELECT *, sum(CASE WHEN t - before < INTERVAL 30 MINUTE THEN 0 ELSE 1 END) OVER (PARTITION BY entity ORDER BY t ROWS UNBOUNDED PRECEDING) AS nth FROM (

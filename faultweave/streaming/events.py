@@ -7,13 +7,16 @@ so in ``foreachBatch`` with the batch id in the manifest, so that a replayed bat
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
 from faultweave.functions.ids import canonical_run_id
-from faultweave.functions.time import HOUR_US
+from faultweave.functions.time import DAY_US, HOUR_US
 from faultweave.operators import incidents
 from faultweave.sources.tables import Scratch, Versions
 
@@ -86,6 +89,41 @@ class IncidentSink:
         return self.spark.read.parquet(self.files.at(v)) if v else None
 
 
+def quiet_spells(events: DataFrame, keys: list[str], at: str = "inserted_at", quiet: timedelta = timedelta(days=7), lateness: str = "1 hour") -> DataFrame:
+    """The spells of more than ``quiet`` (a day at least) without an event of a key: the keys, ``last_seen`` and ``quiet_at``.
+
+    An event-time timer per key: each event sets it anew, and it goes off once the watermark has passed, so that a key that fell
+    silent is told of without any event of its own; then its state goes. The state is one time per key. A micro-batch's events of a
+    key are read in chunks and kept as the first and last of each day, so a heavy key takes no more memory than others.
+    """
+    spell = quiet // timedelta(microseconds=1)
+
+    def run(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else None
+        silent = []
+        if state.hasTimedOut:
+            silent.append(last)
+            state.remove()
+        else:
+            days: dict[int, tuple[int, int]] = {}
+            for chunk in chunks:
+                for day, (low, high) in chunk["us"].groupby(chunk["us"] // DAY_US).agg(["min", "max"]).iterrows():
+                    a, b = days.get(day, (low, high))
+                    days[day] = min(a, low), max(b, high)
+            for low, high in sorted(days.values()):
+                if last is not None and low - last > spell:
+                    silent.append(last)
+                last = high if last is None else max(last, high)
+            state.update((int(last),))
+            state.setTimeoutTimestamp((int(last) + spell) // 1000)
+        yield pd.DataFrame([(*key, x, x + spell) for x in silent], columns=[*keys, "last_us", "quiet_us"]).astype({"last_us": "int64", "quiet_us": "int64"})
+
+    kinds = ", ".join(f"`{k}` {events.schema[k].dataType.simpleString()}" for k in keys)
+    timed = events.where(F.col(at).isNotNull()).withWatermark(at, lateness).select(*keys, at, F.unix_micros(at).alias("us"))
+    spells = timed.groupBy(*keys).applyInPandasWithState(run, f"{kinds}, last_us long, quiet_us long", "last long", "append", "EventTimeTimeout")
+    return spells.select(*keys, F.timestamp_micros("last_us").alias("last_seen"), F.timestamp_micros("quiet_us").alias("quiet_at"))
+
+
 class LatestSink:
     """``foreachBatch`` target for update and complete mode: a table in versions.
 

@@ -45,3 +45,14 @@ def test_latest_sink_replaces_keys_and_skips_replays(spark):
     for i in (0, 1, 1, 0, 2):
         sink(b[i], i)
     assert {tuple(r) for r in events.LatestSink(spark, b[0].schema, ["k"], sink.files.path).current().collect()} == {("a", 2), ("b", 1), (None, 5)}
+
+
+def test_timers_tell_of_keys_that_fell_silent(spark, tmp_path):
+    t = datetime(2026, 6, 1, tzinfo=UTC)
+    days = {"a": (0, 1, 9, 9.5, 30), "b": (0, 7, 14, 21, 28), "c": (5,), "d": (29.9,), None: (1, 20), "e": tuple(x / 1000 for x in range(0, 30_000, 7))}
+    rows = [("f", k, t + timedelta(days=x)) for k, xs in days.items() for x in xs] + [("f", "a", None), (None, "a", t)]
+    spark.createDataFrame(rows, "fingerprint string, entity string, inserted_at timestamp").coalesce(1).write.parquet(f"{tmp_path}/error_events.parquet")
+    compare(spark, streams.stream_quiet, streams.SQL["stream_quiet"], str(tmp_path))
+    got = {(r.entity, r.last_seen) for r in streams.stream_quiet(spark, str(tmp_path)).collect()}
+    at = lambda x: (t + timedelta(days=x)).replace(tzinfo=None)
+    assert got == {("a", at(1)), ("a", at(9.5)), ("c", at(5)), (None, at(1)), (None, at(20))}
